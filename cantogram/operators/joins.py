@@ -56,19 +56,24 @@ def not_in(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
 def zip_tables(tables: Mapping[str, DataFrame], index: str = "row_idx") -> DataFrame:
     """Row-aligned tables side by side, matched on a stored position.
 
-    A position that some table lacks raises while the join runs, so tables of
-    different length fail without a counting pass.
+    Tables of different length raise at once: counting reads file footers only. A
+    position of the first table that another one lacks raises while the join
+    runs. Left joins keep the first table's partitioning, so it is shuffled once.
     """
+    sizes = {name: table.count() for name, table in tables.items()}
+    if len(set(sizes.values())) > 1:
+        raise ValueError(f"row counts differ: {sizes}")
     joined, marks = None, []
     for name, table in tables.items():
-        mark = f"_has_{name}"
-        marks.append(mark)
-        table = table.withColumn(mark, F.lit(True))
-        joined = table if joined is None else joined.join(table, index, "full_outer")
+        if joined is None:
+            joined = table
+            continue
+        marks.append(f"_has_{name}")
+        joined = joined.join(table.withColumn(marks[-1], F.lit(True)), index, "left")
+    if not marks:
+        return joined
     complete = all_of([F.col(mark).isNotNull() for mark in marks])
-    failure = F.raise_error(
-        F.concat(F.lit("row counts differ: position "), F.col(index).cast("string"))
-    )
+    failure = F.raise_error(F.concat(F.lit("no row at position "), F.col(index).cast("string")))
     checked = joined.filter(F.when(complete, F.lit(True)).otherwise(failure.cast("boolean")))
     return checked.drop(*marks)
 
