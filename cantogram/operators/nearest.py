@@ -18,8 +18,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cantogram.session import checkpoint_dir
+
 EARTH_RADIUS_KM = 6371.0088
 GRID_DEGREES = (10.0, 1.0)
+# Rows up to which a per-cell table is broadcast: the one-degree grid has 64 800.
+BROADCAST_CELLS = 100_000
 # Room for rounding in the bounds, in chord units (about 0.6 m).
 _SLACK = 1e-7
 # Distances are compared to the millimetre, so equal distances tie.
@@ -91,12 +95,30 @@ def _xyz(column: str) -> list[Column]:
     return [F.col(column).getField(axis) for axis in "xyz"]
 
 
+def _vector(lat: Column, lon: Column) -> Column:
+    x, y, z = unit_vector(lat, lon)
+    return F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+
+
+def _parent(cell: str, fine: float, coarse: float) -> Column:
+    """Number of the coarse cell around a fine one."""
+    (_, columns), (_, wide), ratio = _grid(fine), _grid(coarse), int(coarse / fine)
+    row, column = F.floor(F.col(cell) / columns), F.pmod(F.col(cell), F.lit(columns))
+    return (F.floor(row / ratio) * wide + F.floor(column / ratio)).cast("long")
+
+
+def _small(df: DataFrame, degrees: float) -> DataFrame:
+    """Broadcast a table of one row per cell, where the grid itself bounds its size."""
+    rows, columns = _grid(degrees)
+    return F.broadcast(df) if rows * columns <= BROADCAST_CELLS else df
+
+
 def _prune(pairs: DataFrame) -> DataFrame:
     """Keep, per point cell ``a``, the place cells ``b`` that may hold the nearest place."""
     reach = chord(_xyz("a_at"), _xyz("place_at")) + F.col("a_radius")
     gap = chord(_xyz("a_at"), _xyz("b_at")) - F.col("a_radius") - F.col("b_radius")
     measured = pairs.select("a", "b", reach.alias("reach"), gap.alias("gap"))
-    # At most one row per grid cell and window, on a grid of fixed size.
+    # A window holds at most one row per cell of a grid of fixed size.
     bound = F.min("reach").over(Window.partitionBy("a"))
     kept = measured.withColumn("bound", bound).filter(F.col("gap") <= F.col("bound") + _SLACK)
     return kept.select("a", "b")
@@ -105,36 +127,35 @@ def _prune(pairs: DataFrame) -> DataFrame:
 def candidate_cells(
     points: DataFrame, places: DataFrame, grids: Sequence[float] = GRID_DEGREES
 ) -> DataFrame:
-    """(a, b): cells of the finest grid with points, and place cells each may need."""
-    a = points.select("lat", "lon")
-    b = places.select("lat", "lon", F.struct(*unit_vector(F.col("lat"), F.col("lon"))).alias("at"))
-    kept, coarse = None, None
-    for degrees in grids:
-        rows, columns = _grid(degrees)
-        here = [_cell(F.col("lat"), F.col("lon"), degrees)]
-        above = [] if coarse is None else [_cell(F.col("lat"), F.col("lon"), coarse)]
-        a_cells = a.select(here[0].alias("a"), *(c.alias("a_above") for c in above)).distinct()
-        b_cells = b.select(
-            here[0].alias("b"), *(c.alias("b_above") for c in above), F.col("at")
-        ).groupBy("b", *(["b_above"] if above else [])).agg(F.min("at").alias("at"))
-        at = F.col("at")
-        b_cells = _cells(b_cells, degrees, "b").withColumn(
-            "place_at",
-            F.struct(
-                at.getField("col1").alias("x"),
-                at.getField("col2").alias("y"),
-                at.getField("col3").alias("z"),
-            ),
-        )
-        a_cells = _cells(a_cells, degrees, "a")
-        if kept is None:
+    """(a, b): cells of the finest grid with points, and the place cells each may need."""
+    finest = grids[-1]
+    cell = _cell(F.col("lat"), F.col("lon"), finest)
+    sample = F.min(F.struct("lat", "lon")).alias("sample")
+    a = [points.select(cell.alias("a")).distinct().checkpoint()]
+    b = [places.groupBy(cell.alias("b")).agg(sample).checkpoint()]
+    for fine, coarse in zip(grids[:0:-1], grids[-2::-1]):
+        up = [_parent(name, fine, coarse) for name in ("a", "b")]
+        a.insert(0, a[0].select(up[0].alias("a")).distinct())
+        b.insert(0, b[0].groupBy(up[1].alias("b")).agg(F.min("sample").alias("sample")))
+
+    kept = None
+    for level, degrees in enumerate(grids):
+        a_cells = _cells(a[level], degrees, "a")
+        spot = _vector(F.col("sample.lat"), F.col("sample.lon")).alias("place_at")
+        b_cells = _cells(b[level].select("b", spot), degrees, "b")
+        if level == 0:
             # Every cell number of the first grid: a fixed fan-out, then an equi-join.
+            rows, columns = _grid(degrees)
             everywhere = F.sequence(F.lit(0), F.lit(rows * columns - 1)).cast("array<long>")
-            pairs = a_cells.withColumn("b", F.explode(everywhere)).join(b_cells, "b")
+            pairs = a_cells.withColumn("b", F.explode(everywhere)).join(
+                _small(b_cells, degrees), "b"
+            )
         else:
-            above_pairs = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
-            pairs = a_cells.join(above_pairs, "a_above").join(b_cells, "b_above")
-        kept, coarse = _prune(pairs), degrees
+            a_cells = a_cells.withColumn("a_above", _parent("a", degrees, grids[level - 1]))
+            b_cells = b_cells.withColumn("b_above", _parent("b", degrees, grids[level - 1]))
+            above = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
+            pairs = a_cells.join(above, "a_above").join(_small(b_cells, degrees), "b_above")
+        kept = _prune(pairs)
     return kept
 
 
@@ -147,34 +168,35 @@ def nearest_join(
 ) -> DataFrame:
     """Each point with its nearest place: ``place_id``, ``cc``, ``distance_km``.
 
-    Of places at the same distance the smallest ``place_id`` wins. ``places`` has
-    place_id, lat, lon, cc. Each distinct coordinate is looked up once, and places
-    that share a coordinate count once, so copies on either side add no pairs.
-    ``grids`` runs from coarse to fine; for places packed more densely than some
-    thousands to a cell, append a finer step.
+    Of places at the same distance the smallest ``place_id`` wins; a point without
+    coordinates gets nulls. ``places`` has place_id, lat, lon, cc. Each distinct
+    coordinate is looked up once, and places that share a coordinate count once,
+    so copies on either side add no pairs. ``grids`` runs from coarse to fine; for
+    places packed more densely than some thousands to a cell, append a finer step.
+    The distinct coordinates and the cells are checkpointed, so the inputs are
+    computed once.
     """
     if any(a % b for a, b in zip(grids, grids[1:])):
         raise ValueError("each grid step must divide the one before it")
+    checkpoint_dir(points.sparkSession)
     spots = (
         points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
         .select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
         .distinct()
+        .checkpoint()
     )
-    sites = places.groupBy("lat", "lon").agg(
-        F.min(F.struct("place_id", "cc")).alias("place")
+    sites = places.groupBy("lat", "lon").agg(F.min(F.struct("place_id", "cc")).alias("place"))
+    cell = _cell(F.col("lat"), F.col("lon"), grids[-1])
+    spot_side = spots.select(cell.alias("a"), "lat", "lon").join(
+        candidate_cells(spots, places, grids), "a"
     )
-    found = candidate_cells(spots, sites, grids)
-    finest = grids[-1]
-    cell = _cell(F.col("lat"), F.col("lon"), finest)
-    spot_side = spots.select(cell.alias("a"), "lat", "lon").join(found, "a")
     site_side = sites.select(
         cell.alias("b"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"), "place"
     )
-    pair = spot_side.join(site_side, "b")
     length = chord(
         unit_vector(F.col("lat"), F.col("lon")), unit_vector(F.col("to_lat"), F.col("to_lon"))
     )
-    best = pair.groupBy("lat", "lon").agg(
+    best = spot_side.join(site_side, "b").groupBy("lat", "lon").agg(
         F.min(F.struct(chord_km(length).alias("distance_km"), "place")).alias("best")
     )
     answer = best.select(
@@ -184,9 +206,7 @@ def nearest_join(
         F.col("best.place.cc").alias("cc"),
         F.col("best.distance_km").alias("distance_km"),
     )
-    matched = points.join(
-        answer,
-        (F.col(lat).cast("double") == F.col("_lat")) & (F.col(lon).cast("double") == F.col("_lon")),
-        "left",
+    same = (F.col(lat).cast("double") == F.col("_lat")) & (
+        F.col(lon).cast("double") == F.col("_lon")
     )
-    return matched.drop("_lat", "_lon")
+    return points.join(answer, same, "left").drop("_lat", "_lon")

@@ -101,11 +101,14 @@ def add_countries(cells: DataFrame, places: DataFrame, countries: DataFrame) ->
 
 
 def _per_country(cells: DataFrame, places: DataFrame, countries: DataFrame) -> DataFrame:
-    """Artists per (country, name, genre): the small table both maps are made of."""
+    """Artists per (country, name, genre): the small table both maps are made of.
+
+    It is read three times, so it is checkpointed.
+    """
     located = add_countries(cells, places, countries)
     return sum_by(
         located, ["country", "country_name", "genre"], "artist_count", "artist_count"
-    )
+    ).checkpoint()
 
 
 def dominant_genre(cells: DataFrame, places: DataFrame, countries: DataFrame) -> DataFrame:

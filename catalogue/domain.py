@@ -19,8 +19,25 @@ from cantogram.plans.staging import conform, stage_genres, stage_lyrics, stage_t
 from cantogram.schemas import COUNTRIES, PLACES, RAW_GENRES, RAW_LYRICS, RAW_TRACKS
 
 
+# Declared, so that no job reads a footer to find them out. Others are inferred.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "benchmark": "item_id long, text string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read
+    if name in _SCHEMAS:
+        reader = reader.schema(_SCHEMAS[name])
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:

@@ -67,6 +67,13 @@ def table_name(label: str) -> str:
     return f"cantogram_{label}_{uuid.uuid4().hex[:8]}"
 
 
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """A mart as panels find it: saved as a table and scanned."""
+    spark, name = df.sparkSession, table_name(label)
+    sinks.materialize_table(df, name, scratch_path(spark, label))
+    return tables.scan_mart(spark, name)
+
+
 # Shared inputs
 
 
@@ -477,7 +484,7 @@ def lookup_with_fallback(spark, folder):
 
 @query
 def nearest_place(spark, folder):
-    points = cells(spark, folder).select("lat", "lon").distinct()
+    points = saved(cells(spark, folder), "cells").select("lat", "lon").distinct()
     return nearest_join(points, D.places(spark, folder))
 
 
@@ -619,7 +626,7 @@ def preview_rows(spark, folder):
 
 @query
 def union_total_row(spark, folder):
-    rows = diversity(spark, folder)
+    rows = saved(diversity(spark, folder), "diversity")
     metrics = ["avg_type_token_ratio", "avg_vocab_size", "avg_total_words"]
     total = A.weighted_total(rows, "genre", "All", "track_count", metrics)
     both = R.union_total_row(total, rows, "avg_vocab_size")
@@ -697,20 +704,21 @@ def panel_top_words_genre(spark, folder):
 @query
 def panel_diversity(spark, folder):
     metrics = ["avg_type_token_ratio", "avg_vocab_size", "avg_total_words"]
-    return rounded(panels.diversity(diversity(spark, folder)), {m: 9 for m in metrics})
+    stored = saved(diversity(spark, folder), "diversity")
+    return rounded(panels.diversity(stored), {m: 9 for m in metrics})
 
 
 @query
 def panel_dominant_genre(spark, folder):
-    return panels.dominant_genre(
-        cells(spark, folder), D.places(spark, folder), D.countries(spark, folder)
-    )
+    stored = saved(cells(spark, folder), "cells")
+    return panels.dominant_genre(stored, D.places(spark, folder), D.countries(spark, folder))
 
 
 @query
 def panel_genre_share(spark, folder):
+    stored = saved(cells(spark, folder), "cells")
     return panels.genre_share(
-        cells(spark, folder), GENRE, D.places(spark, folder), D.countries(spark, folder)
+        stored, GENRE, D.places(spark, folder), D.countries(spark, folder)
     )
 
 
