@@ -15,13 +15,17 @@ def local_path(path: str) -> str | None:
 
 def open_input(path: str):
     """A seekable binary stream over a mounted or remote file."""
+    import io
+
     from pyarrow import fs
 
     mounted = local_path(path)
     if mounted is not None:
-        return fs.LocalFileSystem().open_input_file(mounted)
+        return open(mounted, "rb")
     system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
+    stream = system.open_input_file(inner)
+    # Seeking before the start must raise OSError, as zip readers of tiny files expect.
+    return io.BytesIO(stream.read()) if stream.size() < 1 << 16 else stream
 
 
 def write_once(path: str, content: bytes) -> None:
