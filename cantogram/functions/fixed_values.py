@@ -27,6 +27,9 @@ CLUSTER_COLUMNS = {
 # Rows per written file of the lyrics dataset.
 LYRICS_ROWS_PER_FILE = 500_000
 
+# Models built at a time.
+MODEL_THREADS = 4
+
 # Panel thresholds.
 TREND_FIRST_YEAR, TREND_MIN_TRACKS = 1920, 50
 CONFIDENCE_Z = 1.96

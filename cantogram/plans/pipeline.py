@@ -1,12 +1,18 @@
-"""The whole build: staging views, checks, marts, checks."""
+"""The whole run: raw files to datasets, to clustered tables, to checked models."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from cantogram.functions.fixed_values import CLUSTER_COLUMNS
+from cantogram.functions.fixed_values import (
+    CLUSTER_COLUMNS,
+    LYRICS_ROWS_PER_FILE,
+    MODEL_THREADS,
+)
 from cantogram.operators.checks import (
     MART_RULES,
     SOURCE_RULES,
@@ -14,21 +20,57 @@ from cantogram.operators.checks import (
     require_passed,
     run_checks,
 )
+from cantogram.operators.joins import zip_tables
 from cantogram.plans import marts
-from cantogram.plans.staging import stage_genres, stage_lyrics, stage_tracks
-from cantogram.sources.sinks import load_table, materialize_table, materialize_view
-from cantogram.sources.tables import with_year_bucket
+from cantogram.plans.staging import conform, stage_genres, stage_lyrics, stage_tracks
+from cantogram.schemas import RAW, RAW_TRACKS
+from cantogram.sources.labels import read_labels
+from cantogram.sources.sinks import (
+    load_table,
+    materialize_table,
+    materialize_view,
+    write_dataset,
+)
+from cantogram.sources.sqlite import read_lyrics
+from cantogram.sources.tables import read_dataset, with_year_bucket
 
 STAGES = {"tracks": stage_tracks, "genres": stage_genres, "lyrics": stage_lyrics}
 
 
+def transform_raw(
+    spark: SparkSession,
+    folder: str,
+    labels: str | None = None,
+    track_parts: Mapping[str, DataFrame] | None = None,
+    lyrics: str | None = None,
+) -> dict[str, int]:
+    """Turn raw inputs into typed Parquet datasets below ``folder``; returns rows written.
+
+    ``labels`` is a label file or zip, ``track_parts`` the row-aligned track tables,
+    ``lyrics`` a SQLite file. An input that is not given is left as it is.
+    """
+    written = {}
+    if labels:
+        written["genres"] = write_dataset(read_labels(spark, labels), f"{folder}/genres")
+    if track_parts:
+        tracks = conform(zip_tables(track_parts), RAW_TRACKS)
+        written["tracks"] = write_dataset(tracks, f"{folder}/tracks")
+    if lyrics:
+        rows = read_lyrics(spark, lyrics)
+        written["lyrics"] = write_dataset(rows, f"{folder}/lyrics", LYRICS_ROWS_PER_FILE)
+    return written
+
+
 def load_raw(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],
     prefix: str = "raw_",
     folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Replace the raw tables, tracks partitioned by decade, all clustered."""
+    """Replace the raw tables, tracks partitioned by decade, all clustered.
+
+    All loads are complete when this returns.
+    """
     loaded = {}
     for name in STAGES:
         df, partitions = inputs[name], []
@@ -45,19 +87,23 @@ def build_all(
     inputs: Mapping[str, DataFrame],
     prefix: str = "",
     folder: str | None = None,
+    threads: int = MODEL_THREADS,
 ) -> dict[str, DataFrame]:
     """Build every model in dependency order and return it by name.
 
     ``inputs`` holds raw tracks, genres and lyrics. Staging models become views,
     marts become saved tables, below ``folder`` when one is given. A failed check
-    raises and stops the build before anything that depends on it.
+    raises before anything that depends on it is built. Marts do not depend on one
+    another: ``threads`` of them are submitted at a time, so that one fills the
+    cluster while another's last tasks finish.
     """
-    require_passed(run_checks(inputs, SOURCE_RULES))
     models = {
         f"stg_{name}": materialize_view(stage(inputs[name]), f"{prefix}stg_{name}")
         for name, stage in STAGES.items()
     }
-    require_passed(run_checks(models, STAGING_RULES))
+    # Views compute nothing by themselves: raw and staged checks run as one query,
+    # and where both ask for the same key they share its shuffle.
+    require_passed(run_checks({**inputs, **models}, {**SOURCE_RULES, **STAGING_RULES}))
 
     tracks, genres, lyrics = (models[f"stg_{name}"] for name in STAGES)
     dated = stage_tracks(inputs["tracks"], known_year=True)
@@ -69,8 +115,28 @@ def build_all(
         "lyrical_diversity": lambda: marts.lyrical_diversity(lyrics, genres),
         "top_words": lambda: marts.top_words(lyrics, genres),
     }
-    for name, plan in plans.items():
+
+    def save(name: str) -> DataFrame:
         path = f"{folder}/{prefix}{name}" if folder else None
-        models[name] = materialize_table(plan(), prefix + name, path)
+        return materialize_table(plans[name](), prefix + name, path)
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(save), name) for name in plans}
+        models.update({name: job.result() for name, job in jobs.items()})
     require_passed(run_checks(models, MART_RULES))
     return models
+
+
+def run_pipeline(
+    spark: SparkSession,
+    folder: str,
+    labels: str,
+    track_parts: Mapping[str, DataFrame],
+    lyrics: str,
+    prefix: str = "",
+) -> dict[str, DataFrame]:
+    """Raw files to checked marts, everything stored below ``folder``."""
+    transform_raw(spark, f"{folder}/processed", labels, track_parts, lyrics)
+    inputs = {name: read_dataset(spark, f"{folder}/processed", name) for name in RAW}
+    loaded = load_raw(spark, inputs, f"{prefix}raw_", f"{folder}/tables")
+    return build_all(spark, loaded, prefix, f"{folder}/marts")

@@ -258,6 +258,32 @@ def test_build_makes_every_model(spark, inputs, tmp_path):
     assert rows(again["genre_by_location"]) == first and len(first) == 2
 
 
+def test_whole_run_from_raw_files(spark, tmp_path):
+    import sqlite3
+
+    from cantogram.plans.pipeline import run_pipeline
+    from cantogram.schemas import TRACK_PARTS
+
+    labels = tmp_path / "labels.cls"
+    labels.write_text("# track\tgenre\n" + "".join(f"T{i}\tRock\n" for i in range(6)))
+    db = sqlite3.connect(tmp_path / "lyrics.db")
+    db.execute("CREATE TABLE lyrics (track_id TEXT, word TEXT, count INTEGER)")
+    db.executemany("INSERT INTO lyrics VALUES (?, ?, 2)", [(f"T{i}", f"w{i % 4}") for i in range(9)])
+    db.commit()
+    db.close()
+    tracks = spark.createDataFrame([raw_track(i) for i in range(8)], RAW_TRACKS)
+    tracks = tracks.withColumn("row_idx", F.substring("track_id", 2, 9).cast("long"))
+    parts = {name: tracks.select("row_idx", *columns) for name, columns in TRACK_PARTS.items()}
+    built = run_pipeline(
+        spark, str(tmp_path / "out"), str(labels), parts, str(tmp_path / "lyrics.db"), "wr_"
+    )
+    assert rows(built["top_words"]) == [
+        ("Rock", "w0", 4, 1), ("Rock", "w1", 4, 2), ("Rock", "w2", 2, 3), ("Rock", "w3", 2, 4)
+    ]
+    assert rows(built["features_by_year"].select("year", "track_count")) == [(1990, 4), (1991, 4)]
+    assert (tmp_path / "out/tables/wr_raw_tracks/year_bucket=1990").is_dir()
+
+
 def test_build_stops_at_a_failed_check(spark, inputs, tmp_path):
     doubled = {**inputs, "genres": inputs["genres"].union(inputs["genres"])}
     with pytest.raises(C.CheckFailed, match="genres.track_id unique: 9"):
@@ -268,6 +294,38 @@ def test_build_stops_at_a_failed_check(spark, inputs, tmp_path):
 # Plan shape
 
 
+def test_a_hot_track_is_split_by_the_skew_join(spark, plan_of):
+    """A third of all lyrics rows on one track, with a label table too big to broadcast."""
+    track = F.when(F.col("id") % 3 == 0, "T0").otherwise(F.concat(F.lit("T"), F.col("id") % 5000))
+    lyrics = spark.range(0, 300000, 1, 8).select(
+        track.alias("track_id"),
+        F.concat(F.lit("w"), F.col("id") % 100000).alias("word"),
+        F.lit(1).alias("count"),
+    )
+    genres = spark.range(5000).select(
+        F.concat(F.lit("T"), F.col("id")).alias("track_id"),
+        F.concat(F.lit("g"), F.col("id") % 3).alias("genre"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    want = rows(marts.top_words_cut(lyrics, genres, 3))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        mart = marts.top_words_cut(lyrics, genres, 3)
+        assert rows(mart) == want
+        assert "SortMergeJoin(skew=true)" in plan_of(mart)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_bounds_share_the_profile_shuffle(staged, plan_of):
     for mart in (marts.features_by_year(staged[0]), marts.features_by_year_genre(*staged[:2])):
         mart.collect()
