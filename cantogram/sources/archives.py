@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cantogram.sources.files import open_input
+
 LINES_PER_BATCH = 50_000
 
 
 def _first_member_lines(batches: Iterator) -> Iterator:
-    import io
-    import zipfile
-
     import pyarrow as pa
 
-    from cantogram.sources.files import open_input
-
     def batch(lines: list[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
@@ -46,31 +45,3 @@ def read_zip_text(spark: SparkSession, path: str) -> DataFrame:
     """
     archives = spark.read.format("binaryFile").load(path).select("path")
     return archives.mapInArrow(_first_member_lines, "value string")
-
-
-def write_zip_parts(lines: DataFrame, folder: str, column: str = "value") -> int:
-    """Write each partition's lines as one zip archive below ``folder``; returns the lines written."""
-    from pyspark.sql import functions as F
-
-    def pack(batches: Iterator) -> Iterator:
-        import io
-        import zipfile
-
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        from cantogram.sources.files import write_once
-
-        count, buffer = 0, io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open("lines.txt", "w") as member:
-                for part in batches:
-                    for line in part.column(0).to_pylist():
-                        member.write(line.encode("utf-8") + b"\n")
-                        count += 1
-        index = TaskContext.get().partitionId()
-        write_once(f"{folder}/part-{index:05d}.zip", buffer.getvalue())
-        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["lines"])
-
-    written = lines.select(column).mapInArrow(pack, "lines long")
-    return written.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]

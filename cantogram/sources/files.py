@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from urllib.parse import unquote, urlsplit
 
 
@@ -15,8 +16,6 @@ def local_path(path: str) -> str | None:
 
 def open_input(path: str):
     """A seekable binary stream over a mounted or remote file."""
-    import io
-
     from pyarrow import fs
 
     mounted = local_path(path)
@@ -26,27 +25,3 @@ def open_input(path: str):
     stream = system.open_input_file(inner)
     # Seeking before the start must raise OSError, as zip readers of tiny files expect.
     return io.BytesIO(stream.read()) if stream.size() < 1 << 16 else stream
-
-
-def write_once(path: str, content: bytes) -> None:
-    """Write a file under a name of its own, then move it to its final name.
-
-    A task that is run again replaces its own file with equal content.
-    """
-    import os
-    import uuid
-
-    from pyarrow import fs
-
-    mounted = local_path(path)
-    if mounted is not None:
-        system, inner = fs.LocalFileSystem(), mounted
-    else:
-        system, inner = fs.FileSystem.from_uri(path)
-    system.create_dir(os.path.dirname(inner), recursive=True)
-    draft = os.path.join(
-        os.path.dirname(inner), f"_{uuid.uuid4().hex}.{os.path.basename(inner)}.part"
-    )
-    with system.open_output_stream(draft) as out:
-        out.write(content)
-    system.move(draft, inner)

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import glob
+import os
+import sqlite3
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote as escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from cantogram.schemas import RAW_LYRICS
+from cantogram.sources.files import local_path, open_input
+
 ROWS_PER_BATCH = 50_000
 ROWS_PER_PARTITION = 500_000
 
@@ -19,11 +27,6 @@ def quote(name: str) -> str:
 
 def connect(path: str):
     """A read-only connection; a file that is not mounted is read into memory."""
-    import sqlite3
-    from urllib.parse import quote as escape
-
-    from cantogram.sources.files import local_path, open_input
-
     mounted = local_path(path)
     if mounted is not None:
         return sqlite3.connect(f"file:{escape(mounted)}?mode=ro&immutable=1", uri=True)
@@ -35,13 +38,8 @@ def connect(path: str):
 
 def list_files(path: str) -> list[str]:
     """Files behind a path: one file, a folder of them, or a glob on mounted storage."""
-    import glob
-    import os
-
     from pyarrow import fs
 
-    from cantogram.sources.files import local_path
-
     mounted = local_path(path)
     if mounted is not None:
         if os.path.isdir(mounted):
@@ -89,8 +87,6 @@ class SqliteTableReader(DataSourceReader):
         return list(zip(edges, edges[1:]))
 
     def partitions(self) -> list[RowRange]:
-        import sqlite3
-
         files = list_files(self.path)
         found: list[RowRange] = []
         for file in files:
@@ -117,7 +113,6 @@ class SqliteTableReader(DataSourceReader):
 
     def read(self, partition: RowRange) -> Iterator:
         import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
 
         if partition.low is None:
             return
@@ -194,40 +189,7 @@ def read_lyrics(
     partitions: int | None = None,
 ) -> DataFrame:
     """The lyrics table of a bag-of-words database; ``split`` may be "train" or "test"."""
-    from cantogram.schemas import RAW_LYRICS
-
     flags = {None: None, "train": "is_test = 0", "test": "is_test <> 0"}
     if split not in flags:
         raise ValueError(f"split must be one of {list(flags)}, not {split!r}")
     return read_sqlite(spark, path, "lyrics", RAW_LYRICS, flags[split], partitions)
-
-
-def write_sqlite_parts(df: DataFrame, folder: str, table: str) -> int:
-    """Write each partition as one SQLite file below ``folder``; returns the rows written."""
-    from pyspark.sql import functions as F
-
-    kinds = {"string": "TEXT", "double": "REAL", "float": "REAL"}
-    columns = ", ".join(f"{quote(n)} {kinds.get(t, 'INTEGER')}" for n, t in df.dtypes)
-    marks = ", ".join("?" * len(df.columns))
-
-    def pack(batches: Iterator) -> Iterator:
-        import sqlite3
-
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        from cantogram.sources.files import write_once
-
-        count, db = 0, sqlite3.connect(":memory:")
-        db.execute(f"CREATE TABLE {quote(table)} ({columns})")
-        for part in batches:
-            rows = zip(*(column.to_pylist() for column in part.columns))
-            db.executemany(f"INSERT INTO {quote(table)} VALUES ({marks})", rows)
-            count += part.num_rows
-        db.commit()
-        index = TaskContext.get().partitionId()
-        write_once(f"{folder}/part-{index:05d}.db", db.serialize())
-        db.close()
-        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], names=["rows"])
-
-    return df.mapInArrow(pack, "rows long").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]

@@ -26,7 +26,7 @@ from cantogram.plans.staging import conform
 from cantogram.schemas import RAW, RAW_TRACKS, TRACK_PARTS
 from cantogram.session import scratch_path
 from cantogram.sources import archives, labels, sinks, sqlite, tables
-from catalogue import domain as D
+from catalogue import domain as D, raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -134,14 +134,14 @@ def read_label_file(spark, folder):
 @query
 def read_zip_lines(spark, folder):
     path = scratch_path(spark, "zip")
-    archives.write_zip_parts(D.label_lines(spark, folder), path)
+    raw_files.write_zip_parts(D.label_lines(spark, folder), path)
     return archives.read_zip_text(spark, f"{path}/*.zip")
 
 
 @query
 def read_sqlite_table(spark, folder):
     path = scratch_path(spark, "sqlite")
-    sqlite.write_sqlite_parts(D.raw_lyrics(spark, folder), path, "lyrics")
+    raw_files.write_sqlite_parts(D.raw_lyrics(spark, folder), path, "lyrics")
     return sqlite.read_lyrics(spark, path, partitions=8)
 
 

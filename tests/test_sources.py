@@ -7,6 +7,7 @@ from pyspark.sql import Observation, functions as F
 
 from cantogram.schemas import COUNTRIES, RAW_LYRICS
 from cantogram.sources import archives, labels, sinks, sqlite, tables
+from catalogue import raw_files
 from tests.conftest import rows
 
 LINES = [
@@ -128,7 +129,7 @@ def test_sqlite_sparse_rowids_and_empty_table(spark, tmp_path):
 def test_sqlite_folder_of_files(spark, tmp_path):
     folder = str(tmp_path / "parts")
     df = spark.createDataFrame(expected(), RAW_LYRICS).repartition(3)
-    assert sqlite.write_sqlite_parts(df, folder, "lyrics") == 2000
+    assert raw_files.write_sqlite_parts(df, folder, "lyrics") == 2000
     assert len(os.listdir(folder)) == 3
     assert rows(sqlite.read_lyrics(spark, folder, partitions=6)) == expected()
 
