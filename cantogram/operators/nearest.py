@@ -24,6 +24,10 @@ EARTH_RADIUS_KM = 6371.0088
 GRID_DEGREES = (10.0, 1.0)
 # Rows up to which a per-cell table is broadcast: the one-degree grid has 64 800.
 BROADCAST_CELLS = 100_000
+# Point-place pairs a cell may give before the next finer grid is added, and the
+# finest step that is added.
+PAIRS_PER_CELL = 10_000_000
+FINEST_DEGREES = 0.001
 # Room for rounding in the bounds, in chord units (about 0.6 m).
 _SLACK = 1e-7
 # Distances are compared to the millimetre, so equal distances tie.
@@ -48,10 +52,10 @@ def chord_km(length: Column) -> Column:
 
 
 def _grid(degrees: float) -> tuple[int, int]:
-    rows, columns = 180 / degrees, 360 / degrees
-    if rows != int(rows):
+    rows = round(180 / degrees)
+    if abs(rows * degrees - 180) > 1e-9:
         raise ValueError(f"grid step {degrees} does not divide 180")
-    return int(rows), int(columns)
+    return rows, 2 * rows
 
 
 def _cell(lat: Column, lon: Column, degrees: float) -> Column:
@@ -102,7 +106,8 @@ def _vector(lat: Column, lon: Column) -> Column:
 
 def _parent(cell: str, fine: float, coarse: float) -> Column:
     """Number of the coarse cell around a fine one."""
-    (_, columns), (_, wide), ratio = _grid(fine), _grid(coarse), int(coarse / fine)
+    (_, columns), (_, wide) = _grid(fine), _grid(coarse)
+    ratio = columns // wide
     row, column = F.floor(F.col(cell) / columns), F.pmod(F.col(cell), F.lit(columns))
     return (F.floor(row / ratio) * wide + F.floor(column / ratio)).cast("long")
 
@@ -124,15 +129,30 @@ def _prune(pairs: DataFrame) -> DataFrame:
     return kept.select("a", "b")
 
 
+def _occupied(points: DataFrame, places: DataFrame, grids: Sequence[float]):
+    """Grids fine enough for the data, and the cells of the finest that hold points or places.
+
+    Where a cell holds so many of both that comparing them all would be too much,
+    finer grids are added. Places hold distinct coordinates, so cells do thin out.
+    """
+    sample = F.min(F.struct("lat", "lon")).alias("sample")
+    count = F.count(F.lit(1)).alias("n")
+    while True:
+        cell = _cell(F.col("lat"), F.col("lon"), grids[-1])
+        a = points.groupBy(cell.alias("a")).agg(count).checkpoint()
+        b = places.groupBy(cell.alias("b")).agg(sample, count).checkpoint()
+        most = [df.agg(F.max("n")).first()[0] or 0 for df in (a, b)]
+        if most[0] * most[1] <= PAIRS_PER_CELL or grids[-1] / 10 < FINEST_DEGREES * 0.99:
+            return grids, a.select("a"), b.select("b", "sample")
+        grids = (*grids, grids[-1] / 10)
+
+
 def candidate_cells(
     points: DataFrame, places: DataFrame, grids: Sequence[float] = GRID_DEGREES
-) -> DataFrame:
-    """(a, b): cells of the finest grid with points, and the place cells each may need."""
-    finest = grids[-1]
-    cell = _cell(F.col("lat"), F.col("lon"), finest)
-    sample = F.min(F.struct("lat", "lon")).alias("sample")
-    a = [points.select(cell.alias("a")).distinct().checkpoint()]
-    b = [places.groupBy(cell.alias("b")).agg(sample).checkpoint()]
+) -> tuple[float, DataFrame]:
+    """(step of the finest grid, (a, b)): cells with points, and the place cells each may need."""
+    grids, a_finest, b_finest = _occupied(points, places, tuple(grids))
+    a, b = [a_finest], [b_finest]
     for fine, coarse in zip(grids[:0:-1], grids[-2::-1]):
         up = [_parent(name, fine, coarse) for name in ("a", "b")]
         a.insert(0, a[0].select(up[0].alias("a")).distinct())
@@ -156,7 +176,7 @@ def candidate_cells(
             above = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
             pairs = a_cells.join(above, "a_above").join(_small(b_cells, degrees), "b_above")
         kept = _prune(pairs)
-    return kept
+    return grids[-1], kept
 
 
 def nearest_join(
@@ -171,12 +191,12 @@ def nearest_join(
     Of places at the same distance the smallest ``place_id`` wins; a point without
     coordinates gets nulls. ``places`` has place_id, lat, lon, cc. Each distinct
     coordinate is looked up once, and places that share a coordinate count once,
-    so copies on either side add no pairs. ``grids`` runs from coarse to fine; for
-    places packed more densely than some thousands to a cell, append a finer step.
-    The distinct coordinates and the cells are checkpointed, so the inputs are
-    computed once.
+    so copies on either side add no pairs. ``grids`` runs from coarse to fine;
+    finer ones are added where the data is dense. Distinct coordinates and cells are
+    checkpointed, so that the inputs are read once.
     """
-    if any(a % b for a, b in zip(grids, grids[1:])):
+    rows = [_grid(degrees)[0] for degrees in grids]
+    if any(fine % coarse for coarse, fine in zip(rows, rows[1:])):
         raise ValueError("each grid step must divide the one before it")
     checkpoint_dir(points.sparkSession)
     spots = (
@@ -185,11 +205,14 @@ def nearest_join(
         .distinct()
         .checkpoint()
     )
-    sites = places.groupBy("lat", "lon").agg(F.min(F.struct("place_id", "cc")).alias("place"))
-    cell = _cell(F.col("lat"), F.col("lon"), grids[-1])
-    spot_side = spots.select(cell.alias("a"), "lat", "lon").join(
-        candidate_cells(spots, places, grids), "a"
+    sites = (
+        places.groupBy("lat", "lon")
+        .agg(F.min(F.struct("place_id", "cc")).alias("place"))
+        .checkpoint()
     )
+    finest, cells = candidate_cells(spots, sites, grids)
+    cell = _cell(F.col("lat"), F.col("lon"), finest)
+    spot_side = spots.select(cell.alias("a"), "lat", "lon").join(cells, "a")
     site_side = sites.select(
         cell.alias("b"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"), "place"
     )

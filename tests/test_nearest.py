@@ -71,6 +71,23 @@ def test_any_grids_give_the_same_answer(spark, grids):
     check(spark, [sphere(rng) for _ in range(80)], places, grids=grids)
 
 
+def test_dense_cells_add_finer_grids(spark, monkeypatch):
+    from cantogram.operators import nearest
+
+    monkeypatch.setattr(nearest, "PAIRS_PER_CELL", 40)
+    rng = random.Random(17)
+
+    def near(n):
+        return [(48.2 + rng.gauss(0, 0.05), 2.3 + rng.gauss(0, 0.05)) for _ in range(n)]
+
+    places = [(i, *at, "FR") for i, at in enumerate(near(150))] + [(999, -40.0, 170.0, "NZ")]
+    points = near(80) + [sphere(rng) for _ in range(20)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    finest, _ = nearest.candidate_cells(df, spark.createDataFrame(places, PLACES))
+    assert finest < 0.05
+    check(spark, points, places)
+
+
 def test_equal_distances_and_copies_go_to_the_smallest_id(spark):
     places = [(9, 0.0, 1.0, "b"), (4, 0.0, -1.0, "a"), (7, 0.0, 1.0, "c"), (5, 0.0, -1.0, "d")]
     got = nearest_join(
