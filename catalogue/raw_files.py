@@ -41,7 +41,8 @@ def write_once(path: str, content: bytes) -> None:
 
 
 def write_zip_parts(lines: DataFrame, folder: str, column: str = "value") -> int:
-    """Write each partition's lines as one zip archive below ``folder``; returns the lines written."""
+    """Write each partition's lines as one zip below ``folder``; returns the lines written."""
+
     def pack(batches: Iterator) -> Iterator:
         import pyarrow as pa
 

@@ -1,9 +1,11 @@
 """Marts, panels, checks and the build, and the shape of their plans."""
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from cantogram.operators import checks as C
+from cantogram.operators.aggregates import group_profile, minmax_normalize
 from cantogram.plans import marts, panels
 from cantogram.plans.pipeline import build_all, load_raw
 from cantogram.plans.staging import conform, stage_genres, stage_lyrics, stage_tracks
@@ -182,6 +184,29 @@ def test_diversity_panel(spark):
         panels.diversity(mart, "genre")
 
 
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("abcd"), st.integers(-50, 50), st.integers(0, 1)),
+        min_size=1, max_size=25,
+    )
+)
+def test_scaled_means_span_zero_to_one(spark, values):
+    df = spark.createDataFrame(
+        [(g, float(v), float(v), 1.0, None, m) for g, v, m in values],
+        "genre string, tempo double, loudness double, duration double,"
+        " song_hotttnesss double, mode int",
+    )
+    got = minmax_normalize(group_profile(df, ["genre"])).collect()
+    means = [r.avg_tempo for r in got]
+    norms = [r.norm_tempo for r in got]
+    if min(means) == max(means):
+        assert norms == [None] * len(got)
+    else:
+        assert min(norms) == 0.0 and max(norms) == 1.0
+    assert all(r.norm_duration is None and r.norm_hotttnesss is None for r in got)
+
+
 @pytest.fixture(scope="module")
 def maps(spark):
     cells = spark.createDataFrame(
@@ -332,6 +357,17 @@ def test_bounds_share_the_profile_shuffle(staged, plan_of):
         assert "ReusedExchange" in plan_of(mart)
 
 
+def test_raw_and_staged_checks_share_shuffles(spark, inputs, tmp_path, plan_of):
+    loaded = load_raw(spark, inputs, "cs_raw_", str(tmp_path))
+    models = {
+        "stg_tracks": stage_tracks(loaded["tracks"]), "stg_genres": stage_genres(loaded["genres"]),
+        "stg_lyrics": stage_lyrics(loaded["lyrics"]),
+    }
+    report = C.run_checks({**loaded, **models}, {**C.SOURCE_RULES, **C.STAGING_RULES})
+    assert all(r.failures == 0 for r in report.collect())
+    assert plan_of(report).count("ReusedExchange") >= 2
+
+
 def test_cut_is_pushed_below_the_shuffle(staged, plan_of):
     plan = plan_of(marts.top_words_cut(staged[2], staged[1]))
     assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan

@@ -152,6 +152,14 @@ def test_dataset_round_trip_and_counts(spark, tmp_path):
     assert tables.read_dataset(spark, str(tmp_path), "lyrics").count() == 5
 
 
+def test_empty_frames_are_written_and_counted(spark, tmp_path):
+    empty = spark.createDataFrame([], RAW_LYRICS)
+    assert sinks.write_dataset(empty, f"{tmp_path}/lyrics") == 0
+    assert tables.read_dataset(spark, str(tmp_path), "lyrics").count() == 0
+    none = spark.range(5).filter("id < 0").groupBy("id").count()
+    assert sinks.load_table(none, "empty_table", f"{tmp_path}/t", clustering=["id"]) == 0
+
+
 def test_bounded_files(spark, tmp_path):
     import pyarrow.parquet as pq
 
