@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cantogram.llm.near_dedup import near_duplicates
+from cantogram.llm.repeats import drop_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -28,3 +29,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=4)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeats(table(spark, folder, "documents"), texts=False)
