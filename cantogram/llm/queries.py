@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cantogram.llm.bpe import encode_decode
+from cantogram.llm.decontaminate import find_contamination
 from cantogram.llm.near_dedup import near_duplicates
 from cantogram.llm.repeats import drop_repeats
+from cantogram.llm.token_files import token_digest
+from cantogram.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def query(run: Query) -> Query:
@@ -34,3 +40,20 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeats(table(spark, folder, "documents"), texts=False)
+
+
+@query
+def op9_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_decode(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), outputs=False)
+
+
+@query
+def op2_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-records")
+    return token_digest(table(spark, folder, "documents"), path, public_tokenizers.path(VOCABULARY), end_id=2)
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("byte_spans")
