@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cantogram.llm.bpe import encode_decode
 from cantogram.llm.decontaminate import find_contamination
 from cantogram.llm.near_dedup import near_duplicates
+from cantogram.llm.quality import judge
 from cantogram.llm.repeats import drop_repeats
 from cantogram.llm.token_files import token_digest
 from cantogram.session import scratch_path
@@ -57,3 +58,9 @@ def op2_token_records(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("byte_spans")
+
+
+@query
+def op4_quality_mcd(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
