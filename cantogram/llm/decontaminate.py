@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from cantogram.llm.words import LOWER, NOT_ALNUM
 
@@ -101,10 +102,11 @@ def _counted(batches: Batches) -> Batches:
             original.append(places)
             shas.append(hashlib.sha256(",".join(sorted(map(str, items or []))).encode()).hexdigest())
         counts = [len(x or []) for x in batch.column("items").to_pylist()]
+        rest = [c for c in batch.schema.names if c not in ("text", "spans", "items")]
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(hit, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas), pa.array([h > 0 for h in hit], pa.bool_())]
+            [*[batch.column(c) for c in rest], pa.array(words, pa.int64()), pa.array(hit, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas), pa.array([h > 0 for h in hit], pa.bool_())]
             + [pa.array(original, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "byte_spans"],
+            names=[*rest, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "byte_spans"],
         )
 
 
@@ -117,15 +119,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id
     is not counted; repeated items are one. Rows stand for themselves. Other columns are ignored; an empty
     table on either side is allowed. The items are the query set: they are read in blocks of ITEM_BYTES.
     """
-    spark = docs.sparkSession
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return _searched(source, benchmark, size)
+
+
+def without_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """The rows of ``docs`` without a hit word, by the rules of :func:`find_contamination`; all columns stay."""
+    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    return _searched(packed, benchmark, size).filter("NOT contaminated").select("row.*")
+
+
+def _searched(source: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
+    context = source.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     blocks = 1 + 2 * total // ITEM_BYTES if total > ITEM_BYTES else 1
-    out = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    out = out.withColumn("spans", F.lit(None).cast("array<struct<start:int,count:int>>")).withColumn("items", F.lit(None).cast("array<bigint>"))
+    out = source.withColumn("spans", F.lit(None).cast("array<struct<start:int,count:int>>")).withColumn("items", F.lit(None).cast("array<bigint>"))
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        held = spark.sparkContext.broadcast(tuple((r["item_id"], r["text"]) for r in own))
-        out = out.mapInArrow(_matched(held, size), out.schema)
-    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, byte_spans array<struct<start:bigint,end:bigint>>"
+        held = context.broadcast(tuple((r["item_id"], r["text"]) for r in own))
+        fields = {f.name: f for f in out.schema.fields}
+        order = [f for n, f in fields.items() if n not in ("spans", "items")] + [fields["spans"], fields["items"]]
+        out = out.mapInArrow(_matched(held, size), StructType(order))
+    schema = StructType([f for f in source.schema.fields if f.name != "text"])
+    for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
+        schema = schema.add(name, kind)
+    schema = schema.add("byte_spans", ArrayType(StructType().add("start", "long").add("end", "long")))
     return out.mapInArrow(_counted, schema)

@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from cantogram.llm.scratch import discard, stored
 from cantogram.llm.words import SPACE, hashed_rows, mix, separators, windows
@@ -230,6 +231,21 @@ def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     are ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    return _applied(source, source, size, texts)
+
+
+def without_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
+    """``docs`` with the kept words as ``text``, by the rules of :func:`drop_repeats`; all its columns stay."""
+    columns = [c for c in docs.columns if c != "marks"]
+    source = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    packed = source.select("doc_id", "text", F.struct(*[c for c in columns if c not in ("doc_id", "text")], F.lit(0).alias("_")).alias("others"))
+    done = _applied(packed, source, size, True)
+    return done.select(*[F.col("kept_text").alias(c) if c == "text" else F.col(c) if c == "doc_id" else F.col(f"others.`{c}`").alias(c) for c in columns])
+
+
+def _applied(rows: DataFrame, source: DataFrame, size: int, texts: bool) -> DataFrame:
     marks = stored(repeated_spans(source, size), "spans").groupBy("doc_id").agg(F.collect_list(F.struct("digest", "spans")).alias("marks"))
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
-    return source.join(marks, "doc_id", "left").mapInArrow(_dropped(size, texts), schema)
+    schema = StructType([f for f in rows.schema.fields if f.name != "text"])
+    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string"), *([("kept_text", "string")] * texts)):
+        schema = schema.add(name, kind)
+    return rows.join(marks, "doc_id", "left").mapInArrow(_dropped(size, texts), schema)
