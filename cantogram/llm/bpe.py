@@ -20,7 +20,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Entries of a worker's memo of chunks, and of words; a full memo is emptied. The results don't depend on it.
-MEMO = 800_000
+MEMO = 250_000
 #: Longer words are merged one by one, all places of the smallest rank at once.
 SHORT = 48
 #: Rows of words that are merged together.

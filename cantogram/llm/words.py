@@ -18,7 +18,7 @@ NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Texts are hashed in pieces of about so many bytes; one text is never cut.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 
 
 def separators(chars: bytes) -> np.ndarray:
@@ -41,16 +41,19 @@ def _byte_codes() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for buffers up to 2^bits bytes."""
-    n, inverse = 1 << bits, np.uint64(pow(int(_BASE), -1, 1 << 64))
-    out = []
-    for base in (_BASE, inverse):
-        p = np.ones(n, dtype=np.uint64)
-        p[1:] = base
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, for buffers of ``size`` bytes at least; the largest are kept."""
+    if not _POWERS or len(_POWERS[0]) < size:
+        n, inverse = 1 << max(16, size.bit_length()), np.uint64(pow(int(_BASE), -1, 1 << 64))
+        _POWERS.clear()
+        for base in (_BASE, inverse):
+            p = np.full(n, base, dtype=np.uint64)
+            p[0] = 1
+            _POWERS.append(np.multiply.accumulate(p))
+    return _POWERS
 
 
 def word_bounds(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,8 +66,7 @@ def word_bounds(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One 64-bit hash per span, by prefix sums of a polynomial."""
-    bits = max(16, int(len(data) + 1).bit_length())
-    power, inverse = _powers(bits)
+    power, inverse = _powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_byte_codes()[data] * power[: len(data)], out=prefix[1:])
     value = (prefix[ends] - prefix[starts]) * inverse[starts]
