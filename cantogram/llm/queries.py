@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cantogram.llm.bpe import encode_decode
 from cantogram.llm.decontaminate import find_contamination
+from cantogram.llm.licenses import scan_licenses
 from cantogram.llm.near_dedup import near_duplicates
 from cantogram.llm.quality import judge
 from cantogram.llm.repeats import drop_repeats
 from cantogram.llm.token_files import token_digest
+from cantogram.llm.toxicity import score_toxicity
+from cantogram.llm.urls import judge_urls
 from cantogram.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +67,19 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op4_quality_mcd(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query
+def op6_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents")).drop("detections")
+
+
+@query
+def op7_url_segments(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge_urls(table(spark, folder, "pages"), table(spark, folder, "documents"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query
+def op5_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
