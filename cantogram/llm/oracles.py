@@ -29,7 +29,24 @@ WITH RECURSIVE texts AS (
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON doc_id = node
 """
 
-_SQL = {"op1_minhash_near_dedup": OP1}
+OP3 = r'''
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), turns AS (
+  SELECT *, 4 + length(role) + 2 + length(regexp_replace(text, '(### [A-Za-z0-9.*_+%-]*: |</turn>)', '\\\1', 'g')) + 9 AS long,
+    CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss
+  FROM said
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(long) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+'''
+
+_SQL = {"op1_minhash_near_dedup": OP1, "op3_chat_round_trip": OP3}
 
 
 def all_sql() -> dict[str, str]:

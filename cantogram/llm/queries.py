@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cantogram.llm.bpe import encode_decode
+from cantogram.llm.chat import chat_digest, format_chats
 from cantogram.llm.decontaminate import find_contamination
 from cantogram.llm.licenses import scan_licenses
 from cantogram.llm.near_dedup import near_duplicates
@@ -83,3 +84,12 @@ def op7_url_segments(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op3_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    said = F.lit(r"\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_digest(format_chats(rows.union(added)))
