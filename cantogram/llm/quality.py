@@ -221,7 +221,8 @@ def judge(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     A row is kept if it passes the base rules (20 words, at most 30 % of the words in repeated windows) and its
     distance is within the chi-square bound. Failed rows have no distance and take no part in the estimates. A
     null language or source is a value of its own. Null and empty texts fail. Rows stand for themselves,
-    so repeated rows get equal verdicts. Columns of ``docs`` that bear an output's name are replaced. An empty table gives an empty result.
+    so repeated rows get equal verdicts. Columns of ``docs`` that bear the name of an output are replaced, those of a
+    working column are left out (:func:`without_rejected` keeps all). An empty table gives an empty result.
     """
     taken = {*COUNTS, *STATS, *_PARAMS, "unit", "base_failed", "distance", "kept", "k_lang", "k_source"}
     docs = docs.drop(*[c for c in docs.columns if c in taken])
@@ -240,3 +241,10 @@ def judge(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= bound, F.lit(True)))
     return out.select(*docs.columns, *COUNTS, "base_failed", "distance", "kept")
 
+
+def without_rejected(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with all their columns as they are."""
+    read = ("text", "lang", "source")
+    others = F.struct(*[c for c in docs.columns if c not in read], F.lit(0).alias("_")).alias("others")
+    kept = judge(docs.select(*read, others)).filter("kept")
+    return kept.select(*[F.col(c) if c in read else F.col(f"others.`{c}`").alias(c) for c in docs.columns])

@@ -236,10 +236,10 @@ def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def without_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
     """``docs`` with the kept words as ``text``, by the rules of :func:`drop_repeats`; all its columns stay."""
-    columns = [c for c in docs.columns if c != "marks"]
+    columns = docs.columns
     source = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     packed = source.select("doc_id", "text", F.struct(*[c for c in columns if c not in ("doc_id", "text")], F.lit(0).alias("_")).alias("others"))
-    done = _applied(packed, source, size, True)
+    done = _applied(packed, source.select("doc_id", "text"), size, True)
     return done.select(*[F.col("kept_text").alias(c) if c == "text" else F.col(c) if c == "doc_id" else F.col(f"others.`{c}`").alias(c) for c in columns])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cantogram.llm.bpe import encode_decode
 from cantogram.llm.decontaminate import without_contamination
 from cantogram.llm.near_dedup import near_duplicates
-from cantogram.llm.quality import judge
+from cantogram.llm.quality import without_rejected
 from cantogram.llm.repeats import without_repeats
 from cantogram.llm.scratch import stored
 
@@ -19,7 +19,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge(docs).filter("kept").select(*docs.columns)
+    return without_rejected(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
