@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cantogram.operators.filters import all_of
 
@@ -56,15 +56,18 @@ def not_in(df: DataFrame, column: str, listed: DataFrame) -> DataFrame:
 def zip_tables(tables: Mapping[str, DataFrame], index: str = "row_idx") -> DataFrame:
     """Row-aligned tables side by side, matched on a stored position.
 
-    Tables of different length raise at once: counting reads file footers only. A
-    position of the first table that another one lacks raises while the join
-    runs. Left joins keep the first table's partitioning, so it is shuffled once.
+    Tables of different length raise at once; counting reads file footers where the
+    tables are Parquet, other sources are scanned once more. A position that a table holds
+    twice, and one of the first table that another one lacks, raise while the join
+    runs. The check for repeats shares the join's shuffle and sort. Left joins keep the first
+    table's partitioning, so it is shuffled once.
     """
     sizes = {name: table.count() for name, table in tables.items()}
     if len(set(sizes.values())) > 1:
         raise ValueError(f"row counts differ: {sizes}")
     joined, marks = None, []
     for name, table in tables.items():
+        table = _once(table, index)
         if joined is None:
             joined = table
             continue
@@ -73,11 +76,21 @@ def zip_tables(tables: Mapping[str, DataFrame], index: str = "row_idx") -> DataF
     if not marks:
         return joined
     complete = all_of([F.col(mark).isNotNull() for mark in marks])
-    failure = F.raise_error(F.concat(F.lit("no row at position "), F.col(index).cast("string")))
+    position = F.coalesce(F.col(index).cast("string"), F.lit("null"))
+    failure = F.raise_error(F.concat(F.lit("no row at position "), position))
     checked = joined.filter(F.when(complete, F.lit(True)).otherwise(failure.cast("boolean")))
     return checked.drop(*marks)
 
 
+def _once(table: DataFrame, index: str) -> DataFrame:
+    """The same rows; a position that comes twice raises."""
+    nth = F.row_number().over(Window.partitionBy(index).orderBy(index))
+    position = F.coalesce(F.col(index).cast("string"), F.lit("null"))
+    failure = F.raise_error(F.concat(F.lit("repeated position "), position)).cast("boolean")
+    numbered = table.withColumn("_nth", nth)
+    return numbered.filter(F.when(F.col("_nth") == 1, F.lit(True)).otherwise(failure)).drop("_nth")
+
+
 def lookup_codes(
     df: DataFrame,
     lookup: DataFrame,
@@ -85,7 +98,10 @@ def lookup_codes(
     code: str = "country",
     name: str = "country_name",
 ) -> DataFrame:
-    """Country code and name of a two-letter code; an unknown code stands for both."""
+    """Country code and name of a two-letter code; an unknown code stands for both.
+
+    A code that ``lookup`` lists more than once gives a row for each listing.
+    """
     known = lookup.select(
         F.col("iso2").alias(key), F.col("iso3").alias("_code"), F.col("name").alias("_name")
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cantogram.session import checkpoint_dir
 
@@ -24,10 +24,10 @@ EARTH_RADIUS_KM = 6371.0088
 GRID_DEGREES = (10.0, 1.0)
 # Rows up to which a per-cell table is broadcast: the one-degree grid has 64 800.
 BROADCAST_CELLS = 100_000
-# Point-place pairs a cell may give before the next finer grid is added, and the
-# finest step that is added.
+# Point-place pairs that may meet at one place cell before the next finer grid is added, and
+# the finest step that is added: cells of about a metre, the slack of the bounds below.
 PAIRS_PER_CELL = 10_000_000
-FINEST_DEGREES = 0.001
+FINEST_DEGREES = 1e-5
 # Room for rounding in the bounds, in chord units (about 0.6 m).
 _SLACK = 1e-7
 # Distances are compared to the millimetre, so equal distances tie.
@@ -123,47 +123,43 @@ def _prune(pairs: DataFrame) -> DataFrame:
     reach = chord(_xyz("a_at"), _xyz("place_at")) + F.col("a_radius")
     gap = chord(_xyz("a_at"), _xyz("b_at")) - F.col("a_radius") - F.col("b_radius")
     measured = pairs.select("a", "b", reach.alias("reach"), gap.alias("gap"))
-    # A window holds at most one row per cell of a grid of fixed size.
-    bound = F.min("reach").over(Window.partitionBy("a"))
-    kept = measured.withColumn("bound", bound).filter(F.col("gap") <= F.col("bound") + _SLACK)
+    bounds = measured.groupBy("a").agg(F.min("reach").alias("bound"))
+    kept = measured.join(bounds, "a").filter(F.col("gap") <= F.col("bound") + _SLACK)
     return kept.select("a", "b")
 
 
-def _occupied(points: DataFrame, places: DataFrame, grids: Sequence[float]):
-    """Grids fine enough for the data, and the cells of the finest that hold points or places.
+def _level(points: DataFrame, places: DataFrame, degrees: float) -> tuple[DataFrame, DataFrame]:
+    """The cells of one grid that hold points (a, n_a), and those that hold places (b, sample, n_b)."""
+    cell = _cell(F.col("lat"), F.col("lon"), degrees)
+    a = points.groupBy(cell.alias("a")).agg(F.count(F.lit(1)).alias("n_a"))
+    b = places.groupBy(cell.alias("b")).agg(
+        F.min(F.struct("lat", "lon")).alias("sample"), F.count(F.lit(1)).alias("n_b")
+    )
+    return a.checkpoint(), b.checkpoint()
 
-    Where a cell holds so many of both that comparing them all would be too much,
-    finer grids are added. Places hold distinct coordinates, so cells do thin out.
-    """
-    sample = F.min(F.struct("lat", "lon")).alias("sample")
-    count = F.count(F.lit(1)).alias("n")
-    while True:
-        cell = _cell(F.col("lat"), F.col("lon"), grids[-1])
-        a = points.groupBy(cell.alias("a")).agg(count).checkpoint()
-        b = places.groupBy(cell.alias("b")).agg(sample, count).checkpoint()
-        most = [df.agg(F.max("n")).first()[0] or 0 for df in (a, b)]
-        if most[0] * most[1] <= PAIRS_PER_CELL or grids[-1] / 10 < FINEST_DEGREES * 0.99:
-            return grids, a.select("a"), b.select("b", "sample")
-        grids = (*grids, grids[-1] / 10)
+
+def _heaviest(kept: DataFrame, a: DataFrame, b: DataFrame) -> int:
+    """The most point-place pairs that meet at one place cell."""
+    points = kept.join(a, "a").groupBy("b").agg(F.sum("n_a").alias("points"))
+    return points.join(b, "b").agg(F.max(F.col("points") * F.col("n_b"))).first()[0] or 0
 
 
 def candidate_cells(
     points: DataFrame, places: DataFrame, grids: Sequence[float] = GRID_DEGREES
 ) -> tuple[float, DataFrame]:
-    """(step of the finest grid, (a, b)): cells with points, and the place cells each may need."""
-    grids, a_finest, b_finest = _occupied(points, places, tuple(grids))
-    a, b = [a_finest], [b_finest]
-    for fine, coarse in zip(grids[:0:-1], grids[-2::-1]):
-        up = [_parent(name, fine, coarse) for name in ("a", "b")]
-        a.insert(0, a[0].select(up[0].alias("a")).distinct())
-        b.insert(0, b[0].groupBy(up[1].alias("b")).agg(F.min("sample").alias("sample")))
-
-    kept = None
-    for level, degrees in enumerate(grids):
-        a_cells = _cells(a[level], degrees, "a")
+    """(step of the finest grid, (a, b)): cells with points, and the place cells each may need.
+
+    Past the last of ``grids`` finer ones are added for as long as too many pairs would meet at
+    one place cell. Places hold distinct coordinates, so cells do thin out.
+    """
+    steps, kept, above = list(grids), None, None
+    while steps:
+        degrees = steps.pop(0)
+        a, b = _level(points, places, degrees)
+        a_cells = _cells(a.select("a"), degrees, "a")
         spot = _vector(F.col("sample.lat"), F.col("sample.lon")).alias("place_at")
-        b_cells = _cells(b[level].select("b", spot), degrees, "b")
-        if level == 0:
+        b_cells = _cells(b.select("b", spot), degrees, "b")
+        if kept is None:
             # Every cell number of the first grid: a fixed fan-out, then an equi-join.
             rows, columns = _grid(degrees)
             everywhere = F.sequence(F.lit(0), F.lit(rows * columns - 1)).cast("array<long>")
@@ -171,12 +167,25 @@ def candidate_cells(
                 _small(b_cells, degrees), "b"
             )
         else:
-            a_cells = a_cells.withColumn("a_above", _parent("a", degrees, grids[level - 1]))
-            b_cells = b_cells.withColumn("b_above", _parent("b", degrees, grids[level - 1]))
-            above = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
-            pairs = a_cells.join(above, "a_above").join(_small(b_cells, degrees), "b_above")
-        kept = _prune(pairs)
-    return grids[-1], kept
+            a_cells = a_cells.withColumn("a_above", _parent("a", degrees, above))
+            b_cells = b_cells.withColumn("b_above", _parent("b", degrees, above))
+            wider = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
+            pairs = a_cells.join(wider, "a_above").join(_small(b_cells, degrees), "b_above")
+        kept, above = _prune(pairs), degrees
+        if not steps:
+            kept = kept.checkpoint()
+            if degrees / 10 >= FINEST_DEGREES * 0.99 and _heaviest(kept, a, b) > PAIRS_PER_CELL:
+                steps.append(degrees / 10)
+    return above, kept
+
+
+def _located(df: DataFrame) -> DataFrame:
+    """The rows with coordinates, as doubles; impossible ones raise."""
+    rows = df.withColumns({c: F.col(c).cast("double") for c in ("lat", "lon")})
+    known = rows.filter("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
+    possible = (F.abs("lat") <= 90) & (F.abs("lon") < float("inf"))
+    failure = F.raise_error(F.concat_ws(" ", F.lit("no such coordinate:"), "lat", "lon"))
+    return known.withColumn("lat", F.when(possible, F.col("lat")).otherwise(failure.cast("double")))
 
 
 def nearest_join(
@@ -189,7 +198,8 @@ def nearest_join(
     """Each point with its nearest place: ``place_id``, ``cc``, ``distance_km``.
 
     Of places at the same distance the smallest ``place_id`` wins; a point without
-    coordinates gets nulls. ``places`` has place_id, lat, lon, cc. Each distinct
+    coordinates (null or NaN) gets nulls, and such a place is nobody's nearest. A latitude beyond 90
+    degrees and an infinite longitude raise. ``places`` has place_id, lat, lon, cc. Each distinct
     coordinate is looked up once, and places that share a coordinate count once,
     so copies on either side add no pairs. ``grids`` runs from coarse to fine;
     finer ones are added where the data is dense. Distinct coordinates and cells are
@@ -200,13 +210,12 @@ def nearest_join(
         raise ValueError("each grid step must divide the one before it")
     checkpoint_dir(points.sparkSession)
     spots = (
-        points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
+        _located(points.select(F.col(lat).alias("lat"), F.col(lon).alias("lon")))
         .distinct()
         .checkpoint()
     )
     sites = (
-        places.groupBy("lat", "lon")
+        _located(places).groupBy("lat", "lon")
         .agg(F.min(F.struct("place_id", "cc")).alias("place"))
         .checkpoint()
     )

@@ -10,9 +10,6 @@ from cantogram.functions.fixed_values import DIVERSITY_METRICS, PANEL_WORDS
 from cantogram.operators.filters import all_of
 from cantogram.session import checkpoint_dir
 
-# monotonically_increasing_id() holds the partition in the bits above these.
-_ROW_BITS = 33
-
 
 def rank_within(
     df: DataFrame, part: Sequence[str], value: str, tie: str, name: str = "rank"
@@ -31,7 +28,7 @@ def rank_within(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_block", F.shiftright("_row", _ROW_BITS))
+        .withColumn("_block", F.spark_partition_id())
         .checkpoint()
     )
     sizes = placed.groupBy(*part, "_block").agg(

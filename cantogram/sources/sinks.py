@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -32,17 +33,44 @@ def write_dataset(
     max_rows: int | None = None,
     partition_by: Sequence[str] = (),
 ) -> int:
-    """Replace a Parquet dataset; returns the rows written, without a second scan."""
+    """Replace a Parquet dataset; returns the rows written, without a second scan.
+
+    The rows go to a hidden folder beside ``path``, which takes its place once the job is complete:
+    a job that fails leaves the old rows as they were.
+    """
+    spark = df.sparkSession
     counted, seen = observe_rows(df)
-    writer = counted.write.mode("overwrite")
+    writer = counted.write
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fresh, old = (_beside(spark, target, label) for label in ("writing", "replaced"))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer.parquet(fresh.toString())
+    except Exception:
+        files.delete(fresh, True)
+        raise
+    if files.exists(target):
+        _rename(files, target, old)
+    _rename(files, fresh, target)
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
     return seen.get["rows"]
 
 
+def _beside(spark: SparkSession, target, label: str):
+    name = f"_{label}-{target.getName()}-{uuid.uuid4().hex}"
+    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), name)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def load_table(
     df: DataFrame,
     name: str,
@@ -50,19 +78,44 @@ def load_table(
     partition_by: Sequence[str] = (),
     clustering: Sequence[str] = (),
 ) -> int:
-    """Replace the content of a saved table; returns the rows loaded."""
+    """Replace the content of a saved table; returns the rows loaded.
+
+    The catalog changes only after all rows are stored: a job that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    if "." not in name:
+        name = f"{spark.catalog.currentDatabase()}.{name}"
     if clustering:
         df = cluster_by(df, clustering, within=partition_by)
+    if path:
+        loaded = write_dataset(df, path, partition_by=partition_by)
+        _point(spark, name, df, path, partition_by)
+        return loaded
     counted, seen = observe_rows(df)
-    writer = counted.write.mode("overwrite").format("parquet")
+    writer = counted.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    fresh, old = (f"{name}_{label}_{uuid.uuid4().hex}" for label in ("load", "old"))
+    writer.saveAsTable(fresh)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return seen.get["rows"]
 
 
+def _point(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Let a table name stand for a stored dataset with the columns of ``df``."""
+    quoted = lambda c: f"`{c.replace('`', '``')}`"
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path {path!r}){parts}")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     """Register a model as a view: nothing is computed until it is read."""
     df.createOrReplaceTempView(name)

@@ -5,7 +5,7 @@ Every row of the source tables takes part. Both forms state the same rules:
 * tracks: one per order, its artist the customer. An unspecified priority means
   an unknown year (0); a low priority, or a customer in debt, means NaN in the
   columns where NaN stands for missing.
-* genres: one per order that is not pending; the market segment is the genre.
+* genres: one per order; the market segment is the genre. Labels of pending orders carry an id that no track has.
 * lyrics: the words of each document with their counts.
 * places: one per supplier. A supplier in debt has a code that no country has.
 * countries: one per nation.
@@ -80,8 +80,10 @@ def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_genres(spark: SparkSession, folder: str) -> DataFrame:
     minor = F.when(F.col("o_orderpriority") < "3", F.col("o_orderpriority"))
-    rows = _orders(spark, folder).filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("track_id"),
+    key = F.col("o_orderkey").cast("string")
+    unmatched = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("-"), key)).otherwise(key)
+    rows = _orders(spark, folder).select(
+        unmatched.alias("track_id"),
         F.col("c_mktsegment").alias("genre"),
         minor.alias("minority_genre"),
     )
@@ -163,11 +165,10 @@ SQL = {
                          END AS FLOAT) AS artist_longitude
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "raw_genres": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS track_id,
+        SELECT CASE WHEN o_orderstatus = 'P' THEN '-' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS track_id,
                c_mktsegment AS genre,
                CASE WHEN o_orderpriority < '3' THEN o_orderpriority END AS minority_genre
-        FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderstatus <> 'P'""",
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "raw_lyrics": r"""
         SELECT CAST(doc_id AS VARCHAR) AS track_id, word, CAST(count(*) AS INTEGER) AS count
         FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word

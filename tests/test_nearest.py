@@ -105,6 +105,28 @@ def test_missing_coordinates_and_empty_places(spark):
     assert [r.place_id for r in none] == [None, None]
 
 
+def test_nan_is_missing_and_impossible_coordinates_raise(spark):
+    nan = float("nan")
+    points = spark.createDataFrame([(nan, nan, "k"), (1.0, nan, "m"), (1.0, 1.0, "l")], "lat double, lon double, k string")
+    places = spark.createDataFrame([(1, nan, 1.0, "x"), (2, None, 1.0, "x"), (3, 2.0, 2.0, "x")], PLACES)
+    assert {r.k: r.place_id for r in nearest_join(points, places).collect()} == {"k": None, "m": None, "l": 3}
+    with pytest.raises(Exception, match="no such coordinate"):
+        nearest_join(spark.createDataFrame([(95.0, 0.0)], "lat double, lon double"), places).collect()
+
+
+def test_points_all_over_meet_few_places_of_one_dense_cell(spark, monkeypatch):
+    from cantogram.operators import nearest
+
+    monkeypatch.setattr(nearest, "PAIRS_PER_CELL", 2000)
+    rng = random.Random(23)
+    places = [(i, 48 + rng.random(), 2 + rng.random(), "FR") for i in range(400)]
+    points = [sphere(rng) for _ in range(200)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    finest, kept = nearest.candidate_cells(df, spark.createDataFrame(places, PLACES))
+    assert finest < 1
+    check(spark, points, places)
+
+
 def test_grids_must_nest(spark):
     points = spark.createDataFrame([(1.0, 1.0)], "lat double, lon double")
     places = spark.createDataFrame([(1, 2.0, 2.0, "x")], PLACES)

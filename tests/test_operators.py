@@ -93,6 +93,12 @@ def test_zip_tables(spark):
     shifted = b.withColumn("row_idx", F.col("row_idx") + 1)
     with pytest.raises(Exception, match="no row at position 0"):
         J.zip_tables({"a": a, "b": shifted}).collect()
+    for twice in ({"a": b.withColumn("row_idx", F.lit(0)), "b": a}, {"a": a, "b": b.withColumn("row_idx", F.lit(1))}):
+        with pytest.raises(Exception, match="repeated position|no row at position"):
+            J.zip_tables(twice).collect()
+    same = a.withColumn("row_idx", F.lit(0))
+    with pytest.raises(Exception, match="repeated position 0"):
+        J.zip_tables({"a": same, "b": same.withColumnRenamed("a", "b")}).collect()
 
 
 def test_lookup_falls_back_to_the_code(spark):

@@ -221,6 +221,40 @@ def test_loading_replaces_a_table(spark, tmp_path):
     assert rows(got) == [(1, "a")]
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    good = spark.range(10)
+    last = F.when(F.col("id") == 99, F.raise_error("last row").cast("long")).otherwise(F.col("id"))
+    bad = spark.range(100).select(last.alias("id"))
+    path = str(tmp_path / "d")
+    sinks.write_dataset(good, path)
+    with pytest.raises(Exception, match="last row"):
+        sinks.write_dataset(bad, path)
+    assert spark.read.parquet(path).count() == 10 and os.listdir(tmp_path) == ["d"]
+    for name, where in (("safe_managed", None), ("safe_external", str(tmp_path / "t"))):
+        sinks.load_table(good, name, where)
+        with pytest.raises(Exception, match="last row"):
+            sinks.load_table(bad, name, where)
+        assert spark.table(name).count() == 10
+        assert sinks.load_table(good.filter("id < 3"), name, where) == 3
+        assert spark.table(name).count() == 3
+
+
+def test_a_dataset_can_be_replaced_by_a_plan_that_reads_it(spark, tmp_path):
+    path = str(tmp_path / "d")
+    sinks.write_dataset(spark.range(10), path)
+    assert sinks.write_dataset(spark.read.parquet(path).filter("id > 5"), path) == 4
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_partitioned_table_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.createDataFrame([(1, "01"), (2, "02"), (3, None)], "v int, part string")
+    assert sinks.load_table(df, "parted", path, partition_by=["part"]) == 3
+    assert rows(spark.table("parted")) == rows(df)
+    assert sinks.load_table(df.filter("v = 2"), "parted", path, partition_by=["part"]) == 1
+    assert rows(spark.table("parted")) == [(2, "02")]
+
+
 def test_view_is_lazy_and_table_is_stored(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "v int")
     assert rows(sinks.materialize_view(df, "view_test")) == [(1,)]
