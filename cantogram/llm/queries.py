@@ -12,6 +12,7 @@ from cantogram.llm.chat import chat_digest, format_chats
 from cantogram.llm.decontaminate import find_contamination
 from cantogram.llm.licenses import scan_licenses
 from cantogram.llm.near_dedup import near_duplicates
+from cantogram.llm.periods import periodic_runs, run_digest, wrapped
 from cantogram.llm.quality import judge
 from cantogram.llm.repeats import drop_repeats
 from cantogram.llm.token_files import token_digest
@@ -93,3 +94,8 @@ def op3_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat_digest(format_chats(rows.union(added)))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digest(periodic_runs(wrapped(table(spark, folder, "documents"))))
