@@ -13,8 +13,10 @@ from cantogram.llm.decontaminate import find_contamination
 from cantogram.llm.licenses import scan_licenses
 from cantogram.llm.near_dedup import near_duplicates
 from cantogram.llm.periods import periodic_runs, run_digest, wrapped
+from cantogram.llm.personal import find_personal, personal_digest
 from cantogram.llm.quality import judge
 from cantogram.llm.repeats import drop_repeats
+from cantogram.llm.spelling import frequent_words, letter_runs, misspelt, spelling_variants
 from cantogram.llm.token_files import token_digest
 from cantogram.llm.toxicity import score_toxicity
 from cantogram.llm.urls import judge_urls
@@ -96,6 +98,16 @@ def op3_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return chat_digest(format_chats(rows.union(added)))
 
 
+@query
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_digest(find_personal(table(spark, folder, "documents")))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(frequent_words(misspelt(letter_runs(table(spark, folder, "documents")))))
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digest(periodic_runs(wrapped(table(spark, folder, "documents"))))
