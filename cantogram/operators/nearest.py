@@ -1,11 +1,13 @@
 """Nearest-place join on the sphere.
 
-Points and places are laid on nested latitude/longitude grids, from coarse to
-fine. For each grid cell that holds points, a bound on the distance to the
-nearest place follows from one place per occupied cell; cells that lie farther
-away than the bound are dropped, and only what is left is refined. Last, points
-meet the places of the few fine cells that remain. Every step is an equi-join on
-cell numbers. The first grid has a fixed number of cells, whatever the data.
+Points and places are laid on nested latitude/longitude grids. A pair of cells, one with points and one with places,
+stays if the place cell may hold the nearest place of a point of the other: a bound on that distance
+follows from one place per occupied cell. A cell whose points still face more places than one split of a
+place cell makes children is heavy: it and the place cells it faces are split on the next grid, it alone, until its points
+face few places or cells are down to the width of the rounding. So dense regions are refined as deep as their work
+asks for, and the others are done on the first grid. Last, the points meet the places of the cells that are left. A place cell
+that many points face is dealt in tiles by a hash of the point, so that no task gets more than its share of pairs.
+Every step is an equi-join on cell numbers. The first grid has a fixed number of cells, whatever the data.
 
 Distances are chords of the unit sphere until the last step. Chord and
 great-circle distance order places the same way, and chords obey the triangle
@@ -15,6 +17,7 @@ inequality, on which the bounds rest.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,14 +25,10 @@ from cantogram.session import checkpoint_dir
 
 EARTH_RADIUS_KM = 6371.0088
 GRID_DEGREES = (10.0, 1.0)
-# Rows up to which a per-cell table is broadcast: the one-degree grid has 64 800.
-BROADCAST_CELLS = 100_000
-# Point-place pairs that may meet at one place cell before the next finer grid is added, and
-# the finest step that is added: cells of about a metre, the slack of the bounds below.
-PAIRS_PER_CELL = 10_000_000
-FINEST_DEGREES = 1e-5
-# Room for rounding in the bounds, in chord units (about 0.6 m).
-_SLACK = 1e-7
+# The finest grid that is added: its cell numbers still fit 64 bits, and its cells are about a centimetre wide.
+FINEST_DEGREES = 1e-7
+# Room in the bounds for rounding and for distances that tie, in chord units (about 6 mm).
+_SLACK = 1e-9
 # Distances are compared to the millimetre, so equal distances tie.
 _KM_DIGITS = 6
 
@@ -58,12 +57,25 @@ def _grid(degrees: float) -> tuple[int, int]:
     return rows, 2 * rows
 
 
-def _cell(lat: Column, lon: Column, degrees: float) -> Column:
-    """Number of the grid cell of a coordinate, row by row from the south."""
+def _finest(grids: Sequence[float]) -> int:
+    """Rows of the finest grid that may follow ``grids``, which all of them nest in."""
+    rows = _grid(grids[-1])[0]
+    while 180 / (rows * 10) >= FINEST_DEGREES * 0.99:
+        rows *= 10
+    return rows
+
+
+def _cell(degrees: float, finest: int) -> Column:
+    """Number of the grid cell of (lat, lon), row by row from the south.
+
+    Cells of all grids are made of whole cells of the finest one, so that rounding never puts a coordinate outside the
+    cell around its cell.
+    """
     rows, columns = _grid(degrees)
-    row = F.least(F.floor((lat + 90) / degrees), F.lit(rows - 1))
-    column = F.pmod(F.floor((lon + 180) / degrees), F.lit(columns))
-    return (row * columns + column).cast("long")
+    row = F.least(F.floor((F.col("lat") + 90) / 180 * finest), F.lit(finest - 1))
+    column = F.pmod(F.floor((F.col("lon") + 180) / 180 * finest), F.lit(2 * finest))
+    inside = finest // rows
+    return (F.floor(row / inside) * columns + F.floor(column / inside)).cast("long")
 
 
 def _centre(cell: Column, degrees: float) -> tuple[Column, Column]:
@@ -112,71 +124,85 @@ def _parent(cell: str, fine: float, coarse: float) -> Column:
     return (F.floor(row / ratio) * wide + F.floor(column / ratio)).cast("long")
 
 
-def _small(df: DataFrame, degrees: float) -> DataFrame:
-    """Broadcast a table of one row per cell, where the grid itself bounds its size."""
-    rows, columns = _grid(degrees)
-    return F.broadcast(df) if rows * columns <= BROADCAST_CELLS else df
-
-
-def _prune(pairs: DataFrame) -> DataFrame:
+def _pruned(pairs: DataFrame) -> DataFrame:
     """Keep, per point cell ``a``, the place cells ``b`` that may hold the nearest place."""
     reach = chord(_xyz("a_at"), _xyz("place_at")) + F.col("a_radius")
     gap = chord(_xyz("a_at"), _xyz("b_at")) - F.col("a_radius") - F.col("b_radius")
-    measured = pairs.select("a", "b", reach.alias("reach"), gap.alias("gap"))
+    measured = pairs.select("a", "b", "n_a", "n_b", reach.alias("reach"), gap.alias("gap"))
     bounds = measured.groupBy("a").agg(F.min("reach").alias("bound"))
     kept = measured.join(bounds, "a").filter(F.col("gap") <= F.col("bound") + _SLACK)
-    return kept.select("a", "b")
+    return kept.select("a", "b", "n_a", "n_b")
 
 
-def _level(points: DataFrame, places: DataFrame, degrees: float) -> tuple[DataFrame, DataFrame]:
-    """The cells of one grid that hold points (a, n_a), and those that hold places (b, sample, n_b)."""
-    cell = _cell(F.col("lat"), F.col("lon"), degrees)
+def _level(points: DataFrame, places: DataFrame, degrees: float, finest: int) -> tuple[DataFrame, DataFrame]:
+    """The cells of one grid that hold points, and those that hold places, with their counts, centres and radii."""
+    cell = _cell(degrees, finest)
     a = points.groupBy(cell.alias("a")).agg(F.count(F.lit(1)).alias("n_a"))
     b = places.groupBy(cell.alias("b")).agg(
         F.min(F.struct("lat", "lon")).alias("sample"), F.count(F.lit(1)).alias("n_b")
     )
-    return a.checkpoint(), b.checkpoint()
+    spot = _vector(F.col("sample.lat"), F.col("sample.lon")).alias("place_at")
+    return _cells(a, degrees, "a"), _cells(b.select("b", "n_b", spot), degrees, "b")
 
 
-def _heaviest(kept: DataFrame, a: DataFrame, b: DataFrame) -> int:
-    """The most point-place pairs that meet at one place cell."""
-    points = kept.join(a, "a").groupBy("b").agg(F.sum("n_a").alias("points"))
-    return points.join(b, "b").agg(F.max(F.col("points") * F.col("n_b"))).first()[0] or 0
+def _inside(df: DataFrame, cells: DataFrame, at: Column, cell: str) -> DataFrame:
+    """The rows of ``df`` whose cell is among ``cells``."""
+    return df.withColumn("_cell", at).join(cells.select(F.col(cell).alias("_cell")).distinct(), "_cell", "left_semi").drop("_cell")
 
 
-def candidate_cells(
+def candidate_pairs(
     points: DataFrame, places: DataFrame, grids: Sequence[float] = GRID_DEGREES
-) -> tuple[float, DataFrame]:
-    """(step of the finest grid, (a, b)): cells with points, and the place cells each may need.
+) -> list[tuple[float, DataFrame]]:
+    """For each grid that has any: its step and the pairs (a, b, n_a, n_b) of point and place cells to be measured.
 
-    Past the last of ``grids`` finer ones are added for as long as too many pairs would meet at
-    one place cell. Places hold distinct coordinates, so cells do thin out.
+    ``points`` and ``places`` hold distinct coordinates. Each point lies in a cell ``a`` of one of the grids. Past the
+    last of ``grids`` tenfold finer ones follow for cells that are still heavy.
     """
-    steps, kept, above = list(grids), None, None
+    steps, out, heavy, above, finest = list(grids), [], None, None, _finest(grids)
     while steps:
         degrees = steps.pop(0)
-        a, b = _level(points, places, degrees)
-        a_cells = _cells(a.select("a"), degrees, "a")
-        spot = _vector(F.col("sample.lat"), F.col("sample.lon")).alias("place_at")
-        b_cells = _cells(b.select("b", spot), degrees, "b")
-        if kept is None:
+        finer = steps[0] if steps else degrees / 10
+        a, b = _level(points, places, degrees, finest)
+        if heavy is None:
             # Every cell number of the first grid: a fixed fan-out, then an equi-join.
             rows, columns = _grid(degrees)
             everywhere = F.sequence(F.lit(0), F.lit(rows * columns - 1)).cast("array<long>")
-            pairs = a_cells.withColumn("b", F.explode(everywhere)).join(
-                _small(b_cells, degrees), "b"
-            )
+            pairs = a.withColumn("b", F.explode(everywhere)).join(b, "b")
         else:
-            a_cells = a_cells.withColumn("a_above", _parent("a", degrees, above))
-            b_cells = b_cells.withColumn("b_above", _parent("b", degrees, above))
-            wider = kept.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
-            pairs = a_cells.join(wider, "a_above").join(_small(b_cells, degrees), "b_above")
-        kept, above = _prune(pairs), degrees
+            a = a.withColumn("a_above", _parent("a", degrees, above))
+            b = b.withColumn("b_above", _parent("b", degrees, above))
+            wider = heavy.select(F.col("a").alias("a_above"), F.col("b").alias("b_above"))
+            pairs = a.join(wider, "a_above").join(b, "b_above")
+        kept = _pruned(pairs).checkpoint()
+        # A split gives a place cell so many children: no more places than that are met as they are.
+        children = round(degrees / finer) ** 2
+        loads = kept.groupBy("a").agg(F.sum("n_b").alias("load")).filter(F.col("load") > children)
+        if finer < FINEST_DEGREES * 0.99 or loads.isEmpty():
+            out.append((degrees, kept))
+            break
+        heavy = kept.join(loads, "a", "left_semi")
+        out.append((degrees, kept.join(loads, "a", "left_anti")))
+        cell = _cell(degrees, finest)
+        points, places = _inside(points, heavy, cell, "a"), _inside(places, heavy, cell, "b")
+        above = degrees
         if not steps:
-            kept = kept.checkpoint()
-            if degrees / 10 >= FINEST_DEGREES * 0.99 and _heaviest(kept, a, b) > PAIRS_PER_CELL:
-                steps.append(degrees / 10)
-    return above, kept
+            steps.append(finer)
+    return out
+
+
+def _met(points: DataFrame, places: DataFrame, cell: Column, pairs: DataFrame, tasks: int) -> DataFrame:
+    """Each point beside the places it faces: (lat, lon, to_lat, to_lon, place).
+
+    A place cell whose pairs are more than a task's share of all is dealt in tiles by the point.
+    """
+    work = pairs.groupBy("b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("work"))
+    share = pairs.agg(F.sum(F.col("n_a") * F.col("n_b")) / tasks).scalar()
+    tiles = work.select("b", F.ceil(F.col("work") / share).cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("lat", "lon"), F.col("tiles")).cast("int")
+    spots = points.select(cell.alias("a"), "lat", "lon").join(pairs.select("a", "b").join(tiles, "b"), "a")
+    sites = places.select(cell.alias("b"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"), "place").join(tiles, "b")
+    dealt = sites.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles")
+    return spots.withColumn("tile", own).drop("tiles").join(dealt, ["b", "tile"]).drop("a", "b", "tile")
 
 
 def _located(df: DataFrame) -> DataFrame:
@@ -201,8 +227,8 @@ def nearest_join(
     coordinates (null or NaN) gets nulls, and such a place is nobody's nearest. A latitude beyond 90
     degrees and an infinite longitude raise. ``places`` has place_id, lat, lon, cc. Each distinct
     coordinate is looked up once, and places that share a coordinate count once,
-    so copies on either side add no pairs. ``grids`` runs from coarse to fine;
-    finer ones are added where the data is dense. Distinct coordinates and cells are
+    so copies on either side add no pairs. ``grids`` runs from coarse to fine; the later ones, and
+    finer ones after them, are used where a cell's points face many places. Distinct coordinates and cell pairs are
     checkpointed, so that the inputs are read once.
     """
     rows = [_grid(degrees)[0] for degrees in grids]
@@ -219,16 +245,12 @@ def nearest_join(
         .agg(F.min(F.struct("place_id", "cc")).alias("place"))
         .checkpoint()
     )
-    finest, cells = candidate_cells(spots, sites, grids)
-    cell = _cell(F.col("lat"), F.col("lon"), finest)
-    spot_side = spots.select(cell.alias("a"), "lat", "lon").join(cells, "a")
-    site_side = sites.select(
-        cell.alias("b"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"), "place"
-    )
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = [_met(spots, sites, _cell(degrees, _finest(grids)), pairs, tasks) for degrees, pairs in candidate_pairs(spots, sites, grids)]
     length = chord(
         unit_vector(F.col("lat"), F.col("lon")), unit_vector(F.col("to_lat"), F.col("to_lon"))
     )
-    best = spot_side.join(site_side, "b").groupBy("lat", "lon").agg(
+    best = reduce(DataFrame.unionByName, met).groupBy("lat", "lon").agg(
         F.min(F.struct(chord_km(length).alias("distance_km"), "place")).alias("best")
     )
     answer = best.select(

@@ -71,21 +71,26 @@ def test_any_grids_give_the_same_answer(spark, grids):
     check(spark, [sphere(rng) for _ in range(80)], places, grids=grids)
 
 
-def test_dense_cells_add_finer_grids(spark, monkeypatch):
-    from cantogram.operators import nearest
+def pairs_met(spark, points, places):
+    """Steps of the grids that are used, and the point-place pairs that are measured in the end."""
+    from cantogram.operators.nearest import candidate_pairs
 
-    monkeypatch.setattr(nearest, "PAIRS_PER_CELL", 40)
+    found = candidate_pairs(spark.createDataFrame(points, "lat double, lon double"), spark.createDataFrame(places, PLACES))
+    return [step for step, _ in found], sum(df.selectExpr("sum(n_a * n_b)").first()[0] or 0 for _, df in found)
+
+
+def test_dense_cells_are_split_and_others_are_not(spark):
     rng = random.Random(17)
 
     def near(n):
         return [(48.2 + rng.gauss(0, 0.05), 2.3 + rng.gauss(0, 0.05)) for _ in range(n)]
 
-    places = [(i, *at, "FR") for i, at in enumerate(near(150))] + [(999, -40.0, 170.0, "NZ")]
-    points = near(80) + [sphere(rng) for _ in range(20)]
-    df = spark.createDataFrame(points, "lat double, lon double")
-    finest, _ = nearest.candidate_cells(df, spark.createDataFrame(places, PLACES))
-    assert finest < 0.05
+    places = [(i, *at, "FR") for i, at in enumerate(near(1500))] + [(9999, -40.0, 170.0, "NZ")]
+    points = near(800) + [(-40 + rng.random(), 170 + rng.random()) for _ in range(20)]
+    steps, met = pairs_met(spark, points, places)
+    assert steps[0] == 10.0 and steps[-1] < 1 and met < 40 * len(points)
     check(spark, points, places)
+    assert pairs_met(spark, points[-20:], places) == ([10.0], 20)
 
 
 def test_equal_distances_and_copies_go_to_the_smallest_id(spark):
@@ -114,16 +119,32 @@ def test_nan_is_missing_and_impossible_coordinates_raise(spark):
         nearest_join(spark.createDataFrame([(95.0, 0.0)], "lat double, lon double"), places).collect()
 
 
-def test_points_all_over_meet_few_places_of_one_dense_cell(spark, monkeypatch):
-    from cantogram.operators import nearest
+def test_far_points_and_places_in_one_cell(spark):
+    """5000 points face 5000 places a quarter of the globe away: 25 million pairs if they met as they are."""
+    rng = random.Random(23)
+    places = [(i, 40 + rng.random(), 90 + rng.random(), "x") for i in range(5000)]
+    points = [(10 + rng.random(), rng.random()) for _ in range(5000)]
+    steps, met = pairs_met(spark, points, places)
+    assert met <= 40 * len(points), (steps, met / len(points))
+    some = points[:60]
+    got = nearest_join(spark.createDataFrame(points, "lat double, lon double"), spark.createDataFrame(places, PLACES)).collect()
+    found, want = {(r.lat, r.lon): r.place_id for r in got}, brute(some, places)
+    assert {p: found[p] for p in some} == {p: want[p][1] for p in some}
+
 
-    monkeypatch.setattr(nearest, "PAIRS_PER_CELL", 2000)
+def test_points_all_over_meet_few_places_of_one_dense_cell(spark):
     rng = random.Random(23)
     places = [(i, 48 + rng.random(), 2 + rng.random(), "FR") for i in range(400)]
     points = [sphere(rng) for _ in range(200)]
-    df = spark.createDataFrame(points, "lat double, lon double")
-    finest, kept = nearest.candidate_cells(df, spark.createDataFrame(places, PLACES))
-    assert finest < 1
+    steps, _ = pairs_met(spark, points, places)
+    assert steps[-1] < 1
+    check(spark, points, places)
+
+
+def test_places_that_no_grid_parts(spark):
+    """Coordinates within a millimetre of one another stay together on the finest grid and are dealt in tiles."""
+    places = [(1000 - i, 10 + i * 1e-13, 20.0, "x") for i in range(300)]
+    points = [(10 + i * 1e-13, 20.0) for i in range(0, 300, 2)] + [(11.0, 20.0)]
     check(spark, points, places)
 
 
