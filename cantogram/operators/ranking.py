@@ -2,53 +2,92 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from cantogram.functions.fixed_values import DIVERSITY_METRICS, PANEL_WORDS
 from cantogram.operators.filters import all_of
 from cantogram.session import checkpoint_dir
 
 
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two arrays agree; nulls agree with nulls and NaN with NaN, as in a group."""
+    try:
+        equal = pc.fill_null(pc.equal(a, b), False)
+    except pa.ArrowNotImplementedError:  # nested values
+        return np.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], dtype=bool)
+    equal = pc.or_(equal, pc.and_(pc.is_null(a), pc.is_null(b)))
+    if pa.types.is_floating(a.type):
+        equal = pc.or_(equal, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return equal.to_numpy(zero_copy_only=False)
+
+
+def _numbered(part: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds to the sorted rows of a task its number, the row's, its place within the group, and whether that group is the task's first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, before, rows, place, leads = TaskContext.get().partitionId(), None, 0, 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            opens = np.zeros(n, dtype=bool)
+            for i, name in enumerate(part):
+                column = batch.column(name)
+                opens[1:] |= ~_same(column.slice(1), column.slice(0, n - 1))
+                if before is not None:
+                    opens[0] |= not _same(column.slice(0, 1), before[i])[0]
+            before = [batch.column(name).slice(n - 1) for name in part]
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(opens, at, -1))
+            places = np.where(start < 0, place + at + 1, at - start + 1)
+            lead = (start < 0) if leads else np.zeros(n, dtype=bool)
+            leads, place = bool(lead[-1]), int(places[-1])
+            added = [np.full(n, block, dtype=np.int64), rows + at, places, lead]
+            rows += n
+            yield pa.record_batch([*batch.columns, *map(pa.array, added)], names=[*batch.schema.names, "_block", "_row", "_place", "_lead"])
+
+    return run
+
+
 def rank_within(
     df: DataFrame, part: Sequence[str], value: str, tie: str, name: str = "rank"
 ) -> DataFrame:
     """Dense positions 1..n per group, by ``value`` descending, then ``tie`` ascending.
 
     A group may be far larger than a task should sort, so the whole table is
-    range-sorted once, every task numbers its own rows, and a small table of
-    (group, partition) sizes turns those into ranks. The sorted rows are
-    checkpointed: sizes and rows must come from the same partitions, also when a
+    range-sorted once and every task numbers its own rows by group. Only the group that a task
+    begins with can have rows before them: what earlier tasks hold of it is one number per
+    task, added where the rows are. The numbered rows are checkpointed: rows and
+    numbers must come from the same partitions, also when a
     lost executor makes Spark compute some of them again.
     """
     checkpoint_dir(df.sparkSession)
     order = [*map(F.col, part), F.col(value).desc(), F.col(tie).asc()]
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_block", F.spark_partition_id())
-        .checkpoint()
-    )
-    sizes = placed.groupBy(*part, "_block").agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
-    )
-    # One row per partition that a group reaches into.
-    earlier = Window.partitionBy(*part).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    offsets = sizes.select(
-        *(F.col(c).alias(f"_{c}") for c in part),
-        F.col("_block").alias("_of"),
-        (before - F.col("_first") + 1).alias("_shift"),
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part]
-    ranked = placed.join(offsets, all_of([F.col("_block") == F.col("_of"), *same]))
-    return ranked.select(
-        *df.columns, (F.col("_row") + F.col("_shift")).cast("int").alias(name)
+    fields = [("_block", T.LongType()), ("_row", T.LongType()), ("_place", T.LongType()), ("_lead", T.BooleanType())]
+    schema = T.StructType([*df.schema, *(T.StructField(*f) for f in fields)])
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = ranged.mapInArrow(_numbered(part), schema).checkpoint()
+    # The first and the last group of each task, with the rows that the task holds of them.
+    group = F.struct(*part).alias("group")
+    ends = placed.groupBy("_block").agg(
+        F.min_by(group, "_row").alias("lead"), F.count_if("_lead").alias("leads"),
+        F.max_by(group, "_row").alias("last"), F.max_by("_place", "_row").alias("lasts"),
+        F.count(F.lit(1)).alias("rows"),
     )
+    first = ends.select("_block", F.col("lead.*"), F.col("leads").alias("_rows"), F.lit(True).alias("_first"))
+    final = ends.filter("leads < rows").select("_block", F.col("last.*"), F.col("lasts").alias("_rows"), F.lit(False).alias("_first"))
+    earlier = Window.partitionBy(*part).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = first.unionByName(final).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    # One row per task.
+    shifts = F.broadcast(before.filter("_first").select("_block", "_before"))
+    shift = F.when(F.col("_lead"), F.col("_before")).otherwise(0)
+    return placed.join(shifts, "_block").select(*df.columns, (F.col("_place") + shift).alias(name))
 
 
 def top_within(
@@ -60,7 +99,7 @@ def top_within(
     before the shuffle, so a large group costs nothing.
     """
     order = Window.partitionBy(*part).orderBy(F.col(value).desc(), F.col(tie).asc())
-    return df.withColumn(name, F.row_number().over(order)).filter(F.col(name) <= k)
+    return df.withColumn(name, F.row_number().over(order)).filter(F.col(name) <= k).withColumn(name, F.col(name).cast("long"))
 
 
 def argmax_by(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:

@@ -82,7 +82,7 @@ TABLES = {
     "top_words": f"""
         SELECT genre, word, CAST(sum(count) AS BIGINT) AS total_count,
                CAST(row_number() OVER (PARTITION BY genre ORDER BY sum(count) DESC, word)
-                    AS INTEGER) AS word_rank
+                    AS BIGINT) AS word_rank
         FROM lyrics JOIN genres USING (track_id)
         WHERE word NOT IN ({STOPS})
         GROUP BY genre, word""",
@@ -417,7 +417,7 @@ _QUERIES = {
     "rank_words": """
         SELECT genre, word, CAST(sum(count) AS BIGINT) AS total_count,
                CAST(row_number() OVER (PARTITION BY genre ORDER BY sum(count) DESC, word)
-                    AS INTEGER) AS word_rank
+                    AS BIGINT) AS word_rank
         FROM lyrics JOIN genres USING (track_id) GROUP BY genre, word""",
     "order_by_keys": _round("yearly_genre", STD) + " ORDER BY year, genre",
     "topk_words": """

@@ -21,7 +21,7 @@ def test_ranks_equal_row_number(spark, seed, n):
     want = df.withColumn("rank", F.row_number().over(order))
     got = R.rank_within(df, ["genre"], "total", "word")
     assert rows(got) == rows(want)
-    assert got.schema["rank"].dataType.simpleString() == "int"
+    assert got.schema["rank"].dataType.simpleString() == "bigint"
 
 
 def test_a_hot_group_is_ranked_by_many_tasks(spark):
@@ -40,6 +40,37 @@ def test_a_hot_group_is_ranked_by_many_tasks(spark):
         spark.conf.set(conf, "true")
 
 
+def test_the_ranked_rows_move_once(spark, plan_of):
+    """One range exchange sorts them; ranks then come from one row per task, without another exchange of rows."""
+    df = spark.range(5000).selectExpr("id % 3 AS genre", "cast(id AS string) AS word", "id % 7 AS total")
+    got = R.rank_within(df, ["genre"], "total", "word")
+    rows_side = plan_of(got).split("BroadcastExchange")[0]
+    assert "Exchange" not in rows_side and "SortMergeJoin" not in plan_of(got)
+    assert rows(got) == rows(got)
+
+
+@pytest.mark.parametrize(
+    "kind,values",
+    [("double", [None, 1.0, float("nan"), 2.5]), ("string", ["", None, "a", "é"]), ("boolean", [None, True, False])],
+)
+def test_groups_of_any_value_over_many_tasks(spark, kind, values):
+    """Groups that begin, end and go on at task borders; nulls are a group, and so is NaN."""
+    data = [(values[i % len(values)] if i % 5 else values[0], str(i), i % 4) for i in range(700)]
+    df = spark.createDataFrame(data, f"k {kind}, word string, total int")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        order = Window.partitionBy("k").orderBy(F.desc("total"), "word")
+        want = df.withColumn("rank", F.row_number().over(order).cast("long"))
+        assert list(map(repr, rows(R.rank_within(df, ["k"], "total", "word")))) == list(map(repr, rows(want)))
+        two = df.withColumn("g", F.col("total") % 2)
+        order = Window.partitionBy("k", "g").orderBy(F.desc("total"), "word")
+        want = two.withColumn("rank", F.row_number().over(order))
+        assert list(map(repr, rows(R.rank_within(two, ["k", "g"], "total", "word")))) == list(map(repr, rows(want)))
+    finally:
+        spark.conf.set(conf, "true")
+
+
 def test_ranks_of_an_empty_table(spark):
     df = spark.createDataFrame([], "genre string, word string, total long")
     assert R.rank_within(df, ["genre"], "total", "word").collect() == []
