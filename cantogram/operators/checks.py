@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cantogram.operators.aggregates import count_and_distinct
 from cantogram.operators.filters import all_of
 from cantogram.operators.ranking import preview_rows
+from cantogram.sources.generations import is_generation
 
 
 @dataclass(frozen=True)
@@ -120,6 +121,8 @@ def list_tables(
     """Each table of the catalog with its rows, distinct keys, and ``n`` rows as JSON."""
     parts = []
     for entry in spark.catalog.listTables(pattern=pattern):
+        if is_generation(entry.name):
+            continue
         df = spark.table(entry.name)
         if key in df.columns:
             counted = count_and_distinct(df, key)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from cantogram.sources import generations
+
 
 def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The same rows, with an observation that counts them as they are written."""
@@ -27,17 +29,10 @@ def cluster_by(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()
     return ranged.sortWithinPartitions(*keys)
 
 
-def write_dataset(
-    df: DataFrame,
-    path: str,
-    max_rows: int | None = None,
-    partition_by: Sequence[str] = (),
-) -> int:
-    """Replace a Parquet dataset; returns the rows written, without a second scan.
-
-    The rows go to a hidden folder beside ``path``, which takes its place once the job is complete:
-    a job that fails leaves the old rows as they were.
-    """
+def _stored(
+    df: DataFrame, path: str, max_rows: int | None, partition_by: Sequence[str]
+) -> tuple[str, Observation]:
+    """Write a new generation of a dataset, not yet current; its id and the count of its rows."""
     spark = df.sparkSession
     counted, seen = observe_rows(df)
     writer = counted.write
@@ -45,30 +40,31 @@ def write_dataset(
         writer = writer.option("maxRecordsPerFile", max_rows)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fresh, old = (_beside(spark, target, label) for label in ("writing", "replaced"))
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    key = generations.begin(spark, path)
     try:
-        writer.parquet(fresh.toString())
+        writer.parquet(generations.folder(path, key))
     except Exception:
-        files.delete(fresh, True)
+        generations.abandon(spark, path, key)
         raise
-    if files.exists(target):
-        _rename(files, target, old)
-    _rename(files, fresh, target)
-    files.delete(old, True)
-    spark.catalog.refreshByPath(path)
-    return seen.get["rows"]
-
+    return key, seen
 
-def _beside(spark: SparkSession, target, label: str):
-    name = f"_{label}-{target.getName()}-{uuid.uuid4().hex}"
-    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), name)
 
+def write_dataset(
+    df: DataFrame,
+    path: str,
+    max_rows: int | None = None,
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Replace a Parquet dataset; returns the rows written, without a second scan.
 
-def _rename(files, source, target) -> None:
-    if not files.rename(source, target):
-        raise OSError(f"cannot rename {source} to {target}")
+    The rows go to a generation of their own, which becomes the current one in a single step once
+    the job is complete: at any moment :func:`cantogram.sources.tables.open_dataset` reads either the old rows or the new ones.
+    """
+    spark = df.sparkSession
+    key, seen = _stored(df, path, max_rows, partition_by)
+    generations.switch(spark, path, key)
+    generations.clear(spark, path)
+    return seen.get["rows"]
 
 
 def load_table(
@@ -77,43 +73,69 @@ def load_table(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     clustering: Sequence[str] = (),
+    buckets: tuple[int, Sequence[str]] | None = None,
 ) -> int:
     """Replace the content of a saved table; returns the rows loaded.
 
-    The catalog changes only after all rows are stored: a job that fails leaves the old table as it was.
+    All rows are stored, as a generation below ``path`` or as a table of the warehouse, before one change of the
+    catalog points the name to them: readers of the name see the old rows or the new ones. ``buckets``
+    is a number and the columns whose hash deals the rows to so many files, each sorted by ``clustering``.
     """
     spark = df.sparkSession
     if "." not in name:
         name = f"{spark.catalog.currentDatabase()}.{name}"
-    if clustering:
-        df = cluster_by(df, clustering, within=partition_by)
+    generations.begin_table(spark, name)
+    if buckets:
+        key, seen = _bucketed(df, name, path, buckets, clustering)
+    else:
+        if clustering:
+            df = cluster_by(df, clustering, within=partition_by)
+        if path:
+            key, seen = _stored(df, path, None, partition_by)
+            _described(spark, generations.table_of(name, key), df, generations.folder(path, key), partition_by)
+        else:
+            key = uuid.uuid4().hex
+            counted, seen = observe_rows(df)
+            writer = counted.write.format("parquet")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.saveAsTable(generations.table_of(name, key))
     if path:
-        loaded = write_dataset(df, path, partition_by=partition_by)
-        _point(spark, name, df, path, partition_by)
-        return loaded
-    counted, seen = observe_rows(df)
-    writer = counted.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    fresh, old = (f"{name}_{label}_{uuid.uuid4().hex}" for label in ("load", "old"))
-    writer.saveAsTable(fresh)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+        generations.switch(spark, path, key)
+    generations.switch_table(spark, name, key)
+    generations.clear_table(spark, name)
+    if path:
+        generations.clear(spark, path)
     return seen.get["rows"]
 
 
-def _point(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Let a table name stand for a stored dataset with the columns of ``df``."""
+def _bucketed(
+    df: DataFrame, name: str, path: str | None, buckets: tuple[int, Sequence[str]], clustering: Sequence[str]
+) -> tuple[str, Observation]:
+    """Write a bucketed generation: the rows are dealt as the buckets are, so that each is one sorted file."""
+    spark, (count, columns) = df.sparkSession, buckets
+    key = generations.begin(spark, path) if path else uuid.uuid4().hex
+    counted, seen = observe_rows(df.repartition(count, *columns))
+    writer = counted.write.format("parquet").bucketBy(count, *columns).sortBy(*(clustering or columns))
+    if path:
+        writer = writer.option("path", generations.folder(path, key))
+    try:
+        writer.saveAsTable(generations.table_of(name, key))
+    except Exception:
+        if path:
+            generations.abandon(spark, path, key)
+        raise
+    return key, seen
+
+
+def _described(spark: SparkSession, table: str, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Enter a stored dataset in the catalog, with the columns of ``df``."""
     quoted = lambda c: f"`{c.replace('`', '``')}`"
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
     parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path {path!r}){parts}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (path {path!r}){parts}")
     if partition_by:
-        spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
+        spark.catalog.recoverPartitions(table)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:

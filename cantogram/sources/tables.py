@@ -15,13 +15,20 @@ from cantogram.functions.fixed_values import (
 )
 from cantogram.functions.scalars import range_bucket
 from cantogram.schemas import COUNTRIES, RAW
+from cantogram.sources.generations import current_path
 
 
 def read_dataset(
     spark: SparkSession, folder: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
     """A Parquet dataset with its declared schema; nothing is inferred."""
-    return spark.read.schema(schema or RAW[name]).parquet(f"{folder}/{name}")
+    return open_dataset(spark, f"{folder}/{name}", schema or RAW[name])
+
+
+def open_dataset(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The current rows of a dataset, written in generations or a plain Parquet folder."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(current_path(spark, path))
 
 
 def read_lookup(

@@ -151,7 +151,7 @@ def zip_row_aligned(spark, folder):
     path = scratch_path(spark, "aligned")
     for name, columns in TRACK_PARTS.items():
         sinks.write_dataset(rows.select("row_idx", *columns), f"{path}/{name}")
-    parts = {name: spark.read.parquet(f"{path}/{name}") for name in TRACK_PARTS}
+    parts = {name: tables.open_dataset(spark, f"{path}/{name}") for name in TRACK_PARTS}
     return widened(conform(J.zip_tables(parts), RAW_TRACKS))
 
 
@@ -209,7 +209,7 @@ def range_partition_by_year(spark, folder):
     rows = tables.with_year_bucket(D.raw_tracks(spark, folder))
     spread = sinks.cluster_by(rows, ["artist_name"], within=["year_bucket"])
     sinks.write_dataset(spread, path, partition_by=["year_bucket"])
-    return widened(spark.read.parquet(path).select("track_id", "year", "year_bucket"))
+    return widened(tables.open_dataset(spark, path).select("track_id", "year", "year_bucket"))
 
 
 @query

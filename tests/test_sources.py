@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from cantogram.schemas import COUNTRIES, RAW_LYRICS
-from cantogram.sources import archives, labels, sinks, sqlite, tables
+from cantogram.sources import archives, generations, labels, sinks, sqlite, tables
 from catalogue import raw_files
 from tests.conftest import rows
 
@@ -166,7 +166,7 @@ def test_bounded_files(spark, tmp_path):
     df = spark.createDataFrame(expected(), RAW_LYRICS).coalesce(1)
     sinks.write_dataset(df, f"{tmp_path}/lyrics", max_rows=300)
     sizes = [
-        pq.ParquetFile(p).metadata.num_rows for p in (tmp_path / "lyrics").glob("*.parquet")
+        pq.ParquetFile(p).metadata.num_rows for p in (tmp_path / "lyrics").glob("*/*.parquet")
     ]
     assert max(sizes) <= 300 and sum(sizes) == 2000 and len(sizes) == 7
 
@@ -177,12 +177,12 @@ def test_year_ranges_are_partitions_and_prune(spark, tmp_path, plan_of):
     spread = sinks.cluster_by(tables.with_year_bucket(df), ["artist_name"], within=["year_bucket"])
     path = str(tmp_path / "t")
     assert sinks.write_dataset(spread, path, partition_by=["year_bucket"]) == 7
-    names = {p for p in os.listdir(path) if p.startswith("year_bucket")}
+    names = {p for p in os.listdir(generations.current_path(spark, path)) if p.startswith("year_bucket")}
     assert names == {
         "year_bucket=__HIVE_DEFAULT_PARTITION__", "year_bucket=1920", "year_bucket=1980",
         "year_bucket=2020",
     }
-    back = spark.read.parquet(path)
+    back = tables.open_dataset(spark, path)
     pruned = tables.filter_years(back, 1985, 1989)
     assert rows(pruned.select("year")) == [(1987,)]
     assert "PartitionFilters: [isnotnull(year_bucket" in plan_of(pruned)
@@ -201,7 +201,7 @@ def test_clustering_splits_a_hot_value_over_tasks(spark, tmp_path):
         sinks.write_dataset(sinks.cluster_by(df, ["genre"]), str(tmp_path / "c"))
     finally:
         spark.conf.set(conf, "true")
-    files = spark.read.parquet(str(tmp_path / "c")).groupBy(F.input_file_name().alias("file"))
+    files = tables.open_dataset(spark, str(tmp_path / "c")).groupBy(F.input_file_name().alias("file"))
     stats = files.agg(
         F.count("*").alias("n"), F.count_if(F.col("genre") == "hot").alias("hot"),
         F.count_distinct("genre").alias("kinds"),
@@ -229,7 +229,8 @@ def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
     sinks.write_dataset(good, path)
     with pytest.raises(Exception, match="last row"):
         sinks.write_dataset(bad, path)
-    assert spark.read.parquet(path).count() == 10 and os.listdir(tmp_path) == ["d"]
+    assert tables.open_dataset(spark, path).count() == 10 and os.listdir(tmp_path) == ["d"]
+    assert sum(n.startswith("_generation") for n in os.listdir(path)) == 1
     for name, where in (("safe_managed", None), ("safe_external", str(tmp_path / "t"))):
         sinks.load_table(good, name, where)
         with pytest.raises(Exception, match="last row"):
@@ -242,8 +243,8 @@ def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
 def test_a_dataset_can_be_replaced_by_a_plan_that_reads_it(spark, tmp_path):
     path = str(tmp_path / "d")
     sinks.write_dataset(spark.range(10), path)
-    assert sinks.write_dataset(spark.read.parquet(path).filter("id > 5"), path) == 4
-    assert spark.read.parquet(path).count() == 4
+    assert sinks.write_dataset(tables.open_dataset(spark, path).filter("id > 5"), path) == 4
+    assert tables.open_dataset(spark, path).count() == 4
 
 
 def test_a_partitioned_table_is_replaced(spark, tmp_path):
@@ -259,7 +260,89 @@ def test_view_is_lazy_and_table_is_stored(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "v int")
     assert rows(sinks.materialize_view(df, "view_test")) == [(1,)]
     assert rows(sinks.materialize_table(df, "table_test", str(tmp_path / "m"))) == [(1,)]
-    assert any(name.endswith(".parquet") for name in os.listdir(tmp_path / "m"))
+    assert any(name.endswith(".parquet") for name in os.listdir(generations.current_path(spark, str(tmp_path / "m"))))
+
+
+class Broken(Exception):
+    pass
+
+
+def breaking(monkeypatch, step, before):
+    """Let one step of a write break off, before or after it is done."""
+    done = getattr(generations, step)
+
+    def broken(*args):
+        if not before:
+            done(*args)
+        raise Broken(step)
+
+    monkeypatch.setattr(generations, step, broken)
+
+
+@pytest.mark.parametrize("before", [True, False])
+@pytest.mark.parametrize("step", ["begin", "switch", "clear"])
+def test_a_write_that_breaks_off_leaves_old_or_new_rows(spark, tmp_path, monkeypatch, step, before):
+    path = str(tmp_path / "d")
+    for n in (10, 20):
+        sinks.write_dataset(spark.range(n), path)
+    held = tables.open_dataset(spark, path)
+    with monkeypatch.context() as patch:
+        breaking(patch, step, before)
+        with pytest.raises(Broken):
+            sinks.write_dataset(spark.range(30), path)
+    new = step == "clear" or (step == "switch" and not before)
+    assert tables.open_dataset(spark, path).count() == (30 if new else 20) and held.count() == 20
+    assert sinks.write_dataset(spark.range(5), path) == 5 and tables.open_dataset(spark, path).count() == 5
+    names = os.listdir(path)
+    assert sum(n.startswith("_generation") for n in names) == sum(n.startswith("_current") for n in names) == 2
+
+
+@pytest.mark.parametrize("where", ["path", None])
+@pytest.mark.parametrize("before", [True, False])
+@pytest.mark.parametrize("step", ["begin_table", "switch", "switch_table", "clear_table", "clear"])
+def test_a_load_that_breaks_off_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step, before, where):
+    if where is None and step in ("switch", "clear"):
+        pytest.skip("only datasets with a path have this step")
+    path, name = where and str(tmp_path / "t"), f"broken_{step}_{before}_{where or 'managed'}"
+    for n in (10, 20):
+        sinks.load_table(spark.range(n), name, path)
+    with monkeypatch.context() as patch:
+        breaking(patch, step, before)
+        with pytest.raises(Broken):
+            sinks.load_table(spark.range(30).selectExpr("id", "id AS more"), name, path)
+    new = step in ("clear_table", "clear") or (step == "switch_table" and not before)
+    got = spark.table(name)
+    assert got.columns == (["id", "more"] if new else ["id"]) and got.count() == (30 if new else 20)
+    assert sinks.load_table(spark.range(5), name, path) == 5 and spark.table(name).count() == 5
+    left = [t.name for t in spark.catalog.listTables(pattern=f"{name}*")]
+    assert len(left) <= 3 and name.lower() in left
+    generations.drop_table(spark, name)
+    assert spark.catalog.listTables(pattern=f"{name}*") == []
+
+
+def test_a_plain_folder_and_a_plain_table_become_generations(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.range(7).write.parquet(path)
+    assert tables.open_dataset(spark, path).count() == 7
+    sinks.write_dataset(tables.open_dataset(spark, path).filter("id < 3"), path)
+    assert tables.open_dataset(spark, path).count() == 3
+    sinks.write_dataset(spark.range(4), path)
+    assert tables.open_dataset(spark, path).count() == 4 and not [n for n in os.listdir(path) if n.endswith(".parquet")]
+    spark.range(7).write.saveAsTable("once_plain")
+    assert sinks.load_table(spark.range(2), "once_plain") == 2 and spark.table("once_plain").count() == 2
+    generations.drop_table(spark, "once_plain")
+
+
+def test_bucketed_loads_are_read_without_an_exchange(spark, tmp_path, plan_of):
+    df = spark.range(3000).selectExpr("id % 200 AS k", "id AS v", "cast(id AS string) AS w")
+    for path in (None, str(tmp_path / "b")):
+        name = "bucketed_plain" if path is None else "bucketed_path"
+        assert sinks.load_table(df, name, path, clustering=["k", "w"], buckets=(4, ["k"])) == 3000
+        assert sinks.load_table(df.filter("v < 2000"), name, path, clustering=["k", "w"], buckets=(4, ["k"])) == 2000
+        got = spark.table(name)
+        assert rows(got) == rows(df.filter("v < 2000"))
+        assert "Exchange" not in plan_of(got.groupBy("k").count()) and "Exchange" not in plan_of(got.groupBy("k", "w").count())
+        generations.drop_table(spark, name)
 
 
 def test_lookup_keeps_the_text_na(spark, tmp_path):
