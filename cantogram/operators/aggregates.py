@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from cantogram.functions.scalars import round_degrees, safe_div
 from cantogram.operators.filters import select_group
 from cantogram.operators.joins import join_bounds, join_totals
+from cantogram.sources.buckets import SALT, salted
 
 
 @dataclass(frozen=True)
@@ -87,11 +88,14 @@ def vocab_per_track(lyrics: DataFrame, genres: DataFrame) -> DataFrame:
 
     Lyrics shrink to a row per track before they meet the labels, so no join
     partition grows with a track's words. Repeated labels of a track multiply its
-    total, as they would had every word row been joined.
+    total, as they would had every word row been joined. Lyrics that are stored by track and salt shrink where they
+    are, without an exchange: a word has one salt, so distinct words of the salts add up.
     """
-    per_track = lyrics.groupBy("track_id").agg(
+    per_track = lyrics.groupBy(*salted("track_id", lyrics)).agg(
         F.count_distinct("word").alias("vocab_size"), F.sum("count").alias("_words")
     )
+    if SALT in lyrics.columns:
+        per_track = per_track.groupBy("track_id").agg(F.sum("vocab_size").alias("vocab_size"), F.sum("_words").alias("_words"))
     labels = genres.groupBy("track_id", "genre").agg(F.count(F.lit(1)).alias("_copies"))
     return per_track.join(labels, "track_id").select(
         "track_id",

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cantogram.operators.filters import all_of
+from cantogram.sources.buckets import salted
 
 
 def literal_table(spark: SparkSession, values: Sequence, name: str) -> DataFrame:
@@ -17,10 +18,11 @@ def literal_table(spark: SparkSession, values: Sequence, name: str) -> DataFrame
 def join_genres(df: DataFrame, genres: DataFrame, key: str = "track_id") -> DataFrame:
     """Rows of tracks or lyrics that have a genre label, with that label.
 
-    A track that holds very many rows makes one large sort-merge partition; the
+    Where both sides are stored by key and salt they meet on both, in place. Else a track that holds very many rows makes one large sort-merge partition; the
     adaptive skew join splits it, as nothing above needs the join's partitioning.
     """
-    return df.join(genres.select(key, "genre"), key, "inner")
+    keys = salted(key, df, genres)
+    return df.join(genres.select(*keys, "genre"), keys, "inner")
 
 
 def join_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from cantogram.functions.scalars import nan_to_null, sentinel_to_null
+from cantogram.sources.buckets import SALT
 
 _WIDE = ("duration", "tempo", "loudness")
 _SMALL = ("key", "mode", "time_signature")
@@ -45,4 +46,5 @@ def stage_genres(raw: DataFrame) -> DataFrame:
 
 
 def stage_lyrics(raw: DataFrame) -> DataFrame:
-    return raw.select("track_id", "word", "count")
+    """Track, word and count; and the salt, where the lyrics are stored by it."""
+    return raw.select("track_id", "word", "count", *[c for c in raw.columns if c == SALT])

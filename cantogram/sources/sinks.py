@@ -7,13 +7,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from cantogram.operators.checks import CheckFailed
 from cantogram.sources import generations
 
 
-def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The same rows, with an observation that counts them as they are written."""
+def observe_rows(df: DataFrame, not_null: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """The same rows, with an observation that counts them, and the nulls of some columns, as they are written."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    nulls = (F.count_if(F.col(c).isNull()).alias(f"nulls {c}") for c in not_null)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), seen
+
+
+def _require_values(name: str, seen: Observation, not_null: Sequence[str]) -> None:
+    found = [f"{name}.{c} not_null: {seen.get[f'nulls {c}']}" for c in not_null if seen.get[f"nulls {c}"]]
+    if found:
+        raise CheckFailed("; ".join(found))
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
@@ -30,11 +38,11 @@ def cluster_by(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()
 
 
 def _stored(
-    df: DataFrame, path: str, max_rows: int | None, partition_by: Sequence[str]
+    df: DataFrame, path: str, max_rows: int | None, partition_by: Sequence[str], not_null: Sequence[str] = ()
 ) -> tuple[str, Observation]:
     """Write a new generation of a dataset, not yet current; its id and the count of its rows."""
     spark = df.sparkSession
-    counted, seen = observe_rows(df)
+    counted, seen = observe_rows(df, not_null)
     writer = counted.write
     if max_rows:
         writer = writer.option("maxRecordsPerFile", max_rows)
@@ -74,32 +82,36 @@ def load_table(
     partition_by: Sequence[str] = (),
     clustering: Sequence[str] = (),
     buckets: tuple[int, Sequence[str]] | None = None,
+    not_null: Sequence[str] = (),
 ) -> int:
     """Replace the content of a saved table; returns the rows loaded.
 
     All rows are stored, as a generation below ``path`` or as a table of the warehouse, before one change of the
     catalog points the name to them: readers of the name see the old rows or the new ones. ``buckets``
     is a number and the columns whose hash deals the rows to so many files, each sorted by ``clustering``.
+    Nulls in ``not_null`` columns are counted as the rows are written; any of them raises before the name is pointed to
+    the new rows.
     """
     spark = df.sparkSession
     if "." not in name:
         name = f"{spark.catalog.currentDatabase()}.{name}"
     generations.begin_table(spark, name)
     if buckets:
-        key, seen = _bucketed(df, name, path, buckets, clustering)
+        key, seen = _bucketed(df, name, path, buckets, clustering, not_null)
     else:
         if clustering:
             df = cluster_by(df, clustering, within=partition_by)
         if path:
-            key, seen = _stored(df, path, None, partition_by)
+            key, seen = _stored(df, path, None, partition_by, not_null)
             _described(spark, generations.table_of(name, key), df, generations.folder(path, key), partition_by)
         else:
             key = uuid.uuid4().hex
-            counted, seen = observe_rows(df)
+            counted, seen = observe_rows(df, not_null)
             writer = counted.write.format("parquet")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.saveAsTable(generations.table_of(name, key))
+    _require_values(name, seen, not_null)
     if path:
         generations.switch(spark, path, key)
     generations.switch_table(spark, name, key)
@@ -110,12 +122,17 @@ def load_table(
 
 
 def _bucketed(
-    df: DataFrame, name: str, path: str | None, buckets: tuple[int, Sequence[str]], clustering: Sequence[str]
+    df: DataFrame,
+    name: str,
+    path: str | None,
+    buckets: tuple[int, Sequence[str]],
+    clustering: Sequence[str],
+    not_null: Sequence[str],
 ) -> tuple[str, Observation]:
     """Write a bucketed generation: the rows are dealt as the buckets are, so that each is one sorted file."""
     spark, (count, columns) = df.sparkSession, buckets
     key = generations.begin(spark, path) if path else uuid.uuid4().hex
-    counted, seen = observe_rows(df.repartition(count, *columns))
+    counted, seen = observe_rows(df.repartition(count, *columns), not_null)
     writer = counted.write.format("parquet").bucketBy(count, *columns).sortBy(*(clustering or columns))
     if path:
         writer = writer.option("path", generations.folder(path, key))
@@ -144,7 +161,7 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def materialize_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Save a model as a table and return the stored rows."""
-    load_table(df, name, path)
+def materialize_table(df: DataFrame, name: str, path: str | None = None, not_null: Sequence[str] = ()) -> DataFrame:
+    """Save a model as a table and return the stored rows; nulls in ``not_null`` columns raise, and the old table stays."""
+    load_table(df, name, path, not_null=not_null)
     return df.sparkSession.table(name)

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from cantogram.operators import checks as C
 from cantogram.operators.aggregates import group_profile, minmax_normalize
+from cantogram.operators.joins import join_genres
 from cantogram.plans import marts, panels
 from cantogram.plans.pipeline import build_all, load_raw
 from cantogram.plans.staging import conform, stage_genres, stage_lyrics, stage_tracks
 from cantogram.schemas import RAW_GENRES, RAW_LYRICS, RAW_TRACKS
 from cantogram.session import checkpoint_dir, scratch_path
+from cantogram.sources.buckets import SALT
 from cantogram.sources.tables import country_lookup, read_dataset
 from cantogram.sources.sinks import write_dataset
 from tests.conftest import rows
@@ -306,7 +308,7 @@ def test_whole_run_from_raw_files(spark, tmp_path):
         ("Rock", "w0", 4, 1), ("Rock", "w1", 4, 2), ("Rock", "w2", 2, 3), ("Rock", "w3", 2, 4)
     ]
     assert rows(built["features_by_year"].select("year", "track_count")) == [(1990, 4), (1991, 4)]
-    assert (tmp_path / "out/tables/wr_raw_tracks/year_bucket=1990").is_dir()
+    assert list((tmp_path / "out/tables/wr_raw_tracks").glob("_generation-*/year_bucket=1990"))
 
 
 def test_build_stops_at_a_failed_check(spark, inputs, tmp_path):
@@ -316,9 +318,68 @@ def test_build_stops_at_a_failed_check(spark, inputs, tmp_path):
     assert not spark.catalog.tableExists("bad_top_words")
 
 
+def test_nulls_stop_a_load_before_the_table_changes(spark, inputs, tmp_path):
+    load_raw(spark, inputs, "nn_raw_", str(tmp_path))
+    nameless = inputs["lyrics"].withColumn("word", F.when(F.col("word") != "the", F.col("word")))
+    with pytest.raises(C.CheckFailed, match="nn_raw_lyrics.word not_null: 10"):
+        load_raw(spark, {**inputs, "lyrics": nameless}, "nn_raw_", str(tmp_path))
+    assert spark.table("nn_raw_lyrics").filter("word IS NULL").isEmpty() and spark.table("nn_raw_lyrics").count() == 30
+
+
 # Plan shape
 
 
+@pytest.fixture(scope="module")
+def hot_lyrics(spark, tmp_path_factory):
+    """Loaded tables where one track has a third of all lyrics rows, some rows come twice, and some tracks have two labels."""
+    track = F.when(F.col("id") % 3 == 0, "T0").otherwise(F.concat(F.lit("T"), F.col("id") % 40))
+    words = spark.range(0, 6000).select(track.alias("track_id"), F.concat(F.lit("w"), F.col("id") % 1500).alias("word"), F.lit(1).alias("count"))
+    genres = spark.range(45).selectExpr("concat('T', id % 38) AS track_id", "concat('g', id % 3) AS genre", "cast(null AS string) AS minority_genre")
+    tracks = spark.createDataFrame([raw_track(0)], RAW_TRACKS)
+    plain = {"tracks": tracks, "genres": genres, "lyrics": words}
+    return plain, load_raw(spark, plain, "hl_raw_", str(tmp_path_factory.mktemp("hot")))
+
+
+def test_a_hot_track_fills_several_buckets(hot_lyrics):
+    plain, loaded = hot_lyrics
+    assert rows(loaded["lyrics"].drop(SALT)) == rows(plain["lyrics"])
+    salts = {r[0]: r[1] for r in loaded["lyrics"].groupBy("track_id").agg(F.count_distinct(SALT)).collect()}
+    assert salts.pop("T0") >= 3 and set(salts.values()) == {1}
+    files = loaded["lyrics"].groupBy(F.input_file_name()).count().collect()
+    assert max(r[1] for r in files) < 2000 + 1500
+    assert rows(loaded["lyric_labels"].filter("salt = 0").drop(SALT)) == rows(plain["genres"].select("track_id", "genre"))
+
+
+def test_lyrics_stay_where_they_are(spark, hot_lyrics, plan_of):
+    """No exchange between the scan of the lyrics and the aggregates and joins on their track."""
+    plain, loaded = hot_lyrics
+    lyrics, labels, genres = stage_lyrics(loaded["lyrics"]), loaded["lyric_labels"], stage_genres(loaded["genres"])
+    assert rows(marts.lyrical_diversity(lyrics, genres)) == rows(marts.lyrical_diversity(plain["lyrics"], plain["genres"]))
+    assert rows(marts.top_words(lyrics, labels)) == rows(marts.top_words(plain["lyrics"], plain["genres"]))
+    repeated = C.check_unique(lyrics, "track_id", "word", placed=[SALT])
+    assert rows(repeated) == rows(C.check_unique(plain["lyrics"], "track_id", "word")) and repeated.count() > 0
+    per_track = lyrics.groupBy("track_id", SALT).agg(F.count_distinct("word"), F.sum("count"))
+    for kept in (repeated, per_track):
+        assert "Exchange" not in plan_of(kept)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        met = join_genres(lyrics, labels)
+        assert "SortMergeJoin" in plan_of(met) and "Exchange" not in plan_of(met)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_table_is_read_once_for_its_key_and_null_counts(spark, plan_of):
+    df = spark.createDataFrame([("1", "a", 1), ("1", None, None), (None, "a", 2)], "track_id string, word string, n int")
+    report = C.run_checks({"t": df}, {"t": C.Rules(["track_id", "word", "n"], [("track_id", "word")])})
+    assert plan_of(report).count("Scan ExistingRDD") == 1
+    assert rows(report) == [("t", "n", "not_null", 1), ("t", "track_id", "not_null", 1), ("t", "track_id, word", "unique", 0), ("t", "word", "not_null", 1)]
+
+
 def test_a_hot_track_is_split_by_the_skew_join(spark, plan_of):
     """A third of all lyrics rows on one track, with a label table too big to broadcast."""
     track = F.when(F.col("id") % 3 == 0, "T0").otherwise(F.concat(F.lit("T"), F.col("id") % 5000))
