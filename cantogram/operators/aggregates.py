@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from cantogram.functions.scalars import round_degrees, safe_div
 from cantogram.operators.filters import select_group
 from cantogram.operators.joins import join_bounds, join_totals
+from cantogram.session import checkpoint_dir
 from cantogram.sources.buckets import SALT, salted
 
 
@@ -149,6 +151,30 @@ def distinct_per_cell(
     return cells.groupBy("lat", "lon", *keys).agg(F.count_distinct(column).alias(name))
 
 
+def distinct_levels(df: DataFrame, levels: Mapping[str, Sequence[str]], column: str, name: str = "distinct_count") -> DataFrame:
+    """(level, all level columns, count): exact distinct values of a column for several groupings, from one pass over the rows.
+
+    Values get numbers, and each group of all columns a set of bits per 32 768 numbers. Sets of bits merge without the rows:
+    a coarser level joins those of its groups. A hot group is spread over its ranges of numbers, and
+    each task combines what it has before anything is shuffled. Nulls of the column are not counted; columns
+    that a level does not have are null.
+    """
+    finest = list(dict.fromkeys(c for keys in levels.values() for c in keys))
+    values = df.filter(F.col(column).isNotNull()).select(column).distinct()
+    numbered = values.repartitionByRange(column).sortWithinPartitions(column).withColumn("_number", F.monotonically_increasing_id())
+    checkpoint_dir(df.sparkSession)
+    coded = df.select(*finest, column).join(numbered.checkpoint(), column, "left")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("_bits")
+    base = coded.groupBy(*finest, F.bitmap_bucket_number("_number").alias("_range")).agg(bits).checkpoint()
+    out = []
+    for level, keys in levels.items():
+        merged = base if set(keys) == set(finest) else base.groupBy(*keys, "_range").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+        counted = merged.groupBy(*keys).agg(F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0)).alias(name))
+        others = {c: F.lit(None).cast(df.schema[c].dataType) for c in finest if c not in keys}
+        out.append(counted.withColumns({"level": F.lit(level), **others}).select("level", *finest, name))
+    return reduce(DataFrame.unionByName, out)
+
+
 def artists_per_country_genre(cells: DataFrame) -> DataFrame:
     """Cell counts summed per (country, genre); an artist in two cells counts twice."""
     return sum_by(cells, ["country", "genre"], "artist_count", "artist_count")

@@ -77,6 +77,21 @@ def filter_years(df: DataFrame, first: int, last: int) -> DataFrame:
     return df.filter(wanted & F.col("year").between(first, last))
 
 
+def years_in(df: DataFrame, years: DataFrame, column: str = "year") -> DataFrame:
+    """The rows of a table stored by ``year_bucket`` whose year is listed in ``years``.
+
+    The years are known only as the query runs: a join on the partition column hands the listed
+    ranges to the scan, which then skips the other partitions. A null year is in no list; listed years
+    outside the ranges are looked for in the partition without a bucket alone.
+    """
+    listed = years.select(F.col(column).cast("int").alias("_year")).filter("_year IS NOT NULL").distinct()
+    bucketed = listed.withColumn("_bucket", range_bucket("_year", YEAR_RANGE_START, YEAR_RANGE_END, YEAR_RANGE_STEP))
+    same = F.col("year").cast("int") == F.col("_year")
+    inside = df.join(bucketed.filter("_bucket IS NOT NULL"), (F.col("year_bucket") == F.col("_bucket")) & same, "left_semi")
+    rest = df.filter("year_bucket IS NULL").join(bucketed.filter("_bucket IS NULL"), same, "left_semi")
+    return inside.unionByName(rest)
+
+
 def with_year_bucket(df: DataFrame) -> DataFrame:
     """Add the decade partition column of the stored track table."""
     bucket = range_bucket("year", YEAR_RANGE_START, YEAR_RANGE_END, YEAR_RANGE_STEP)

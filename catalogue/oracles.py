@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from cantogram.functions.fixed_values import STOP_WORDS
+from cantogram.functions.fixed_values import COUNTRY_CODES, STOP_WORDS
 from catalogue import domain
 
 FEATURES = {
@@ -483,11 +483,46 @@ _QUERIES = {
     "profile_tables": _table_profiles(),
     "list_tables": """
         SELECT 'tracks' AS "table", count(*) AS row_count,
-               count(DISTINCT track_id) AS distinct_count FROM tracks
+               count(DISTINCT track_id) AS distinct_count, least(5, count(*)) AS previewed FROM tracks
         UNION ALL
-        SELECT 'genres', count(*), count(DISTINCT track_id) FROM genres
+        SELECT 'genres', count(*), count(DISTINCT track_id), least(5, count(*)) FROM genres
         UNION ALL
-        SELECT 'lyrics', count(*), count(DISTINCT track_id) FROM lyrics""",
+        SELECT 'lyrics', count(*), count(DISTINCT track_id), least(5, count(*)) FROM lyrics""",
+}
+
+# Layouts: the same results from tables stored by year, in bounded files, and in buckets.
+_BUCKET = """CASE WHEN year >= 1920 AND year < 2030
+                    THEN CAST(floor((year - 1920) / 10) * 10 + 1920 AS INTEGER) END AS year_bucket"""
+_CODES = ", ".join("('" + "', '".join(f.replace("'", "''") for f in line.split(",", 2)) + "')" for line in COUNTRY_CODES.splitlines())
+_PLACED = """
+          SELECT round(artist_latitude, 0) + 0.0 AS lat, round(artist_longitude, 0) + 0.0 AS lon, genre, artist_name
+          FROM tracks JOIN genres USING (track_id)
+          WHERE artist_latitude IS NOT NULL AND artist_longitude IS NOT NULL"""
+_QUERIES |= {
+    "filter_years": f"""
+        SELECT track_id, CAST(year AS INTEGER) AS year, {_BUCKET}
+        FROM raw_tracks WHERE year BETWEEN 1993 AND 1996""",
+    "years_in": f"""
+        SELECT track_id, CAST(year AS INTEGER) AS year, {_BUCKET}
+        FROM raw_tracks WHERE year IN (SELECT year FROM features_by_year WHERE norm_tempo > 0.5)""",
+    "bounded_files": 'SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS files_over, true AS enough_files FROM raw_lyrics',
+    "bucketed_lyrics": "SELECT * FROM raw_lyrics",
+    "bucketed_diversity": _round("lyrical_diversity", RATIO),
+    "bucketed_top_words": "SELECT * FROM top_words",
+    "bucketed_key_check": """
+        SELECT track_id, word, CAST(2 AS BIGINT) AS copies FROM flagged_lyrics WHERE is_test = 1""",
+    "country_table": f"""
+        SELECT coalesce(iso2, n_name) AS cc, coalesce(iso3, n_name) AS country,
+               coalesce(name, n_name) AS country_name, count(*) AS customers
+        FROM nation JOIN customer ON c_nationkey = n_nationkey
+        LEFT JOIN (VALUES {_CODES}) AS known(iso2, iso3, name) ON lower(name) = lower(n_name)
+        GROUP BY n_nationkey, 1, 2, 3""",
+    "distinct_levels": f"""
+        SELECT 'cell' AS level, lat, lon, genre, count(DISTINCT artist_name) AS artist_count FROM ({_PLACED}) GROUP BY lat, lon, genre
+        UNION ALL
+        SELECT 'row', lat, NULL, genre, count(DISTINCT artist_name) FROM ({_PLACED}) GROUP BY lat, genre
+        UNION ALL
+        SELECT 'world', NULL, NULL, genre, count(DISTINCT artist_name) FROM ({_PLACED}) GROUP BY genre""",
 }
 
 

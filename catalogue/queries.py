@@ -21,11 +21,12 @@ from cantogram.operators import ranking as R
 from cantogram.operators.nearest import nearest_join
 from cantogram.operators.series import confidence_band, feature_series, rescale
 from cantogram.plans import marts, panels
-from cantogram.plans.pipeline import build_all
+from cantogram.plans.pipeline import build_all, load_raw
 from cantogram.plans.staging import conform
 from cantogram.schemas import RAW, RAW_TRACKS, TRACK_PARTS
 from cantogram.session import scratch_path
 from cantogram.sources import archives, labels, sinks, sqlite, tables
+from cantogram.sources.buckets import SALT
 from catalogue import domain as D, raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,6 +263,90 @@ def build_all_models(spark, folder):
 _QUERIES["build_all"] = _QUERIES.pop("build_all_models")
 
 
+def stored_tracks(spark, folder):
+    """Tracks stored by decade."""
+    path = scratch_path(spark, "decades")
+    sinks.write_dataset(tables.with_year_bucket(D.raw_tracks(spark, folder)), path, partition_by=["year_bucket"])
+    return tables.open_dataset(spark, path).select("track_id", "year", "year_bucket")
+
+
+@query
+def filter_years(spark, folder):
+    return widened(tables.filter_years(stored_tracks(spark, folder), 1993, 1996))
+
+
+@query
+def years_in(spark, folder):
+    fast = by_year(spark, folder).filter("norm_tempo > 0.5")
+    return widened(tables.years_in(stored_tracks(spark, folder), fast))
+
+
+@query
+def bounded_files(spark, folder):
+    """Rows of a dataset written with a bound that most tasks reach, and of its files."""
+    path, bound = scratch_path(spark, "bounded"), 2000
+    sinks.write_dataset(D.raw_lyrics(spark, folder), path, max_rows=bound)
+    files = tables.open_dataset(spark, path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("rows"))
+    return files.agg(
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("rows") > bound).alias("files_over"),
+        (F.count(F.lit(1)) * bound >= F.sum("rows")).alias("enough_files"),
+    )
+
+
+def bucketed(spark, folder, lyrics=None):
+    """Loaded tables, with lyrics and their labels in the same buckets."""
+    inputs = {name: getattr(D, f"raw_{name}")(spark, folder) for name in RAW}
+    if lyrics is not None:
+        inputs["lyrics"] = lyrics
+    return load_raw(spark, inputs, table_name("bucketed") + "_", scratch_path(spark, "bucketed"))
+
+
+@query
+def bucketed_lyrics(spark, folder):
+    return bucketed(spark, folder)["lyrics"].drop(SALT)
+
+
+@query
+def bucketed_diversity(spark, folder):
+    loaded = bucketed(spark, folder)
+    return rounded(marts.lyrical_diversity(loaded["lyrics"], loaded["genres"]))
+
+
+@query
+def bucketed_top_words(spark, folder):
+    loaded = bucketed(spark, folder)
+    return marts.top_words(loaded["lyrics"], loaded["lyric_labels"])
+
+
+@query
+def bucketed_key_check(spark, folder):
+    """Lyrics where the words of the test split come twice."""
+    flagged = D.flagged_lyrics(spark, folder)
+    twice = flagged.unionByName(flagged.filter("is_test = 1")).drop("is_test")
+    return C.check_unique(bucketed(spark, folder, twice)["lyrics"], "track_id", "word", placed=[SALT])
+
+
+@query
+def country_table(spark, folder):
+    """Customers by country, where the built-in table knows the nation's name."""
+    nations, known = D.table(spark, folder, "nation"), tables.country_lookup(spark)
+    coded = nations.join(known.select(F.col("iso2").alias("cc"), F.lower("name").alias("_known")), F.lower("n_name") == F.col("_known"), "left")
+    customers = D.table(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
+    found = J.lookup_codes(coded.select("n_nationkey", F.coalesce("cc", "n_name").alias("cc")), known)
+    return found.join(customers, "n_nationkey").select("cc", "country", "country_name", "customers")
+
+
+@query
+def distinct_levels(spark, folder):
+    """Artists of each cell, of each row of cells, and of the whole world, per genre."""
+    located = K.located_only(labelled_tracks(spark, folder)).select(
+        S.round_degrees("artist_latitude").alias("lat"), S.round_degrees("artist_longitude").alias("lon"), "genre", "artist_name"
+    )
+    levels = {"cell": ["lat", "lon", "genre"], "row": ["lat", "genre"], "world": ["genre"]}
+    return A.distinct_levels(located, levels, "artist_name", "artist_count")
+
+
 # Projections
 
 
@@ -767,5 +852,7 @@ def list_tables(spark, folder):
     prefix = table_name("list") + "_"
     for name in RAW:
         sinks.materialize_view(getattr(D, name)(spark, folder), prefix + name)
-    listed = C.list_tables(spark, f"{prefix}*").drop("preview")
+    listed = C.list_tables(spark, f"{prefix}*")
+    # Which rows a preview shows is free; how many is not.
+    listed = listed.withColumn("previewed", F.size("preview").cast("long")).drop("preview")
     return listed.withColumn("table", F.replace("table", F.lit(prefix), F.lit("")))

@@ -1,6 +1,7 @@
 """Filters, joins, aggregates, series on hand-made frames."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -258,3 +259,15 @@ def test_band_drops_rows_with_a_missing_input(spark):
     )
     got = confidence_band(df).collect()
     assert len(got) == 1 and got[0].upper == pytest.approx(0.696)
+
+
+def test_distinct_values_of_all_levels_from_one_pass(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([1, 1, 1, 2, None]), rng.choice("xy"), rng.choice([None, *map(str, range(60))])) for _ in range(900)] + [(9, "x", None)]
+    df = spark.createDataFrame(data, "a int, b string, v string")
+    got = A.distinct_levels(df, {"fine": ["a", "b"], "coarse": ["a"], "all": []}, "v", "n")
+    want = [("fine", *r) for r in rows(df.groupBy("a", "b").agg(F.count_distinct("v")))]
+    want += [("coarse", r[0], None, r[1]) for r in rows(df.groupBy("a").agg(F.count_distinct("v")))]
+    want += [("all", None, None, df.agg(F.count_distinct("v")).first()[0])]
+    assert rows(got) == sorted(want, key=repr)
+    assert rows(A.distinct_levels(df.limit(0), {"fine": ["a"], "all": []}, "v", "n")) == [("all", None, 0)]

@@ -351,3 +351,15 @@ def test_lookup_keeps_the_text_na(spark, tmp_path):
     assert rows(tables.read_lookup(spark, path, null_value="NA"))[0][0] in (None, "XK")
     built_in = tables.country_lookup(spark)
     assert built_in.schema == COUNTRIES and built_in.count() == 197
+
+
+def test_listed_years_prune_partitions_at_run_time(spark, tmp_path, plan_of):
+    years = [0, 1919, 1920, 1955, 1987, 2029, 2030, None]
+    df = spark.createDataFrame([(y, "a") for y in years for _ in range(2)], "year short, artist_name string")
+    path = str(tmp_path / "t")
+    sinks.write_dataset(tables.with_year_bucket(df), path, partition_by=["year_bucket"])
+    stored = tables.open_dataset(spark, path)
+    kept = spark.createDataFrame([(1955, 7), (1955, 8), (2030, 9), (None, 9), (1987, 1)], "year int, score int").filter("score > 5")
+    found = tables.years_in(stored, kept)
+    assert rows(found.select("year")) == [(1955,), (1955,), (2030,), (2030,)]
+    assert "dynamicpruning" in plan_of(found)
