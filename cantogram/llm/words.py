@@ -6,8 +6,8 @@ so working on UTF-8 bytes gives the same words as working on characters.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,9 @@ SPACE = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+# Drawn by the driver and sent with the functions, so all tasks of a run share it.
+_KEYS = tuple(np.uint64(secrets.randbits(64)) for _ in range(4))
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 #: Texts are hashed in pieces of about so many bytes; one text is never cut.
 PIECE_BYTES = 1 << 20
 
@@ -36,26 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _byte_codes() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-
-
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(size: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for buffers of ``size`` bytes at least; the largest are kept."""
-    if not _POWERS or len(_POWERS[0]) < size:
-        n, inverse = 1 << max(16, size.bit_length()), np.uint64(pow(int(_BASE), -1, 1 << 64))
-        _POWERS.clear()
-        for base in (_BASE, inverse):
-            p = np.full(n, base, dtype=np.uint64)
-            p[0] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS
-
-
 def word_bounds(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in a byte array."""
     edge = np.ones(len(data) + 2, dtype=bool)
@@ -64,25 +47,46 @@ def word_bounds(data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nda
     return flips[0::2], flips[1::2]
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per span, by prefix sums of a polynomial."""
-    power, inverse = _powers(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_codes()[data] * power[: len(data)], out=prefix[1:])
-    value = (prefix[ends] - prefix[starts]) * inverse[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * _BASE)
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """One 64-bit hash per span: eight bytes at a time, each mixed in with a key that only this run knows.
+
+    Mixing between the blocks leaves no algebra by which different spans could be made to meet. ``lane`` 0 and 1 are independent.
+    """
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    sizes = ends - starts
+    value = mix(sizes.astype(np.uint64) * _BASE + _KEYS[2 * lane])
+    left, at, rest = None, starts, sizes
+    while len(rest):
+        block = blocks[at] & _MASKS[np.minimum(rest, 8)]
+        own = value if left is None else value[left]
+        own = mix((own ^ block) * _BASE + _KEYS[2 * lane + 1])
+        if left is None:
+            value = own
+        else:
+            value[left] = own
+        more = np.flatnonzero(rest > 8)
+        left = more if left is None else left[more]
+        at, rest = at[more] + 8, rest[more] - 8
+    return value
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the ``size`` consecutive words from each position; shorter by size - 1."""
+    """Hashes of the ``size`` consecutive words from each position; shorter by size - 1.
+
+    Windows of a power of two of words are doubled, and those that make up ``size`` are joined, with a mix at every step.
+    """
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    value = hashes[:n].copy()
-    for k in range(1, size):
-        value *= _BASE
-        value += hashes[k : k + n]
-    return mix(value)
+    part, span, out, done = hashes, 1, None, 0
+    while True:
+        if size & span:
+            out = part[:n] if out is None else mix(out * _BASE + part[done : done + n])
+            done += span
+        if done == size:
+            return mix(out + np.uint64(size))
+        part, span = mix(part[:-span] * _BASE + part[span:]), 2 * span
 
 
 def text_pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -101,8 +105,8 @@ def text_pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         row = end
 
 
-def hashed_rows(column: pa.Array, table: np.ndarray, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each piece: its first row, word hashes of all rows, and where each row's words begin.
+def hashed_rows(column: pa.Array, table: np.ndarray, lower: bool = False, lanes: int = 1) -> Iterator[tuple]:
+    """For each piece: its first row, word hashes of all rows in each lane, and where each row's words begin.
 
     The words of row ``first + i`` are ``hashes[at[i]:at[i + 1]]``. Rows are kept apart by a separator.
     """
@@ -118,4 +122,4 @@ def hashed_rows(column: pa.Array, table: np.ndarray, lower: bool = False) -> Ite
         apart[keep] = lowered[data] if lower else data
         starts, ends = word_bounds(apart, table)
         at = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths + 1)]))
-        yield first, hash_spans(apart, starts, ends), at
+        yield first, *[hash_spans(apart, starts, ends, lane) for lane in range(lanes)], at
