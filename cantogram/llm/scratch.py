@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cantogram.session import scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back: its lineage ends here.
@@ -15,13 +20,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    _folder(spark, path, "deleteOnExit")
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    _folder(spark, path, "deleteOnExit")  # only a folder that exists can be marked
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files as they end, not when the driver next collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that no later plan reads."""
     for df in tables:
