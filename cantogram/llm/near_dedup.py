@@ -144,30 +144,32 @@ def _rest(entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -
     open_nodes = stored(named.join(mixed, "bucket", "left_semi").select("node", "n", "label").distinct(), "open")
     discard(labels)
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
-    rows = sets.join(open_nodes, "node").mapInArrow(_exploded, "node long, n long, label long, shingle long")
+    rows = stored(sets.join(open_nodes, "node").mapInArrow(_exploded, "node long, n long, label long, shingle long"), "shingles")
     for _ in range(PEELS):
-        rows = stored(rows, "shingles")
-        between = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("shingle", "df")
-        foreign = rows.join(between, "shingle")
+        between = rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("shingle")
+        foreign = rows.drop("m").join(between, "shingle")
         enough = foreign.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(F.col("m") >= need).select("node", "m")
-        rows = foreign.drop("df", "m").join(enough, "node")
-    rows = stored(rows, "shingles")
+        left = stored(foreign.join(enough, "node"), "shingles")
+        discard(rows)
+        rows = left
     if rows.isEmpty():
+        discard(open_nodes, rows)
         return None
-    # A linked pair shares one of the m - need + 1 rarest of either side.
-    rarity = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    ranked = rows.join(rarity, "shingle").groupBy("node", "n", "label", "m").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("by_df"))
+    # A linked pair shares one of the m - need + 1 rarest of either side. Shingles that the very same nodes hold stand
+    # together in the order, and nodes meet on them once, not on each.
+    rarity = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.bit_xor(F.xxhash64("node")).alias("holders"))
+    ranked = rows.join(rarity, "shingle").groupBy("node", "n", "label", "m").agg(F.array_sort(F.collect_list(F.struct("df", "holders"))).alias("by_df"))
     prefix = F.slice("by_df", 1, F.greatest(F.lit(0), F.size("by_df") - need + 1).cast("int"))
-    heads = stored(ranked.select("node", "n", "label", "m", F.explode(prefix).alias("head")).select("node", "n", "label", "m", F.col("head.shingle").alias("shingle")), "heads")
-    x, y = (heads.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "label", "m")]) for side in "ab")
-    most = F.least("a_m", "b_m")
-    return (
-        x.join(y, "shingle")
-        .filter("a_node < b_node AND a_label != b_label")
-        .filter(_alike(percent, most, F.col("a_n"), F.col("b_n")))
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n")
-        .distinct()
-    )
+    kinds = F.filter(F.transform("prefix", lambda x, i: F.struct(x.alias("kind"), i.alias("place"))), lambda x: (x["place"] == 0) | (F.get("prefix", x["place"] - 1) != x["kind"]))
+    heads = stored(ranked.withColumn("prefix", prefix).select("node", "n", "label", "m", F.inline(kinds)), "heads")
+    discard(open_nodes, rows)
+    x, y = (heads.select("kind", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "label", "m", "place")]) for side in "ab")
+    # What stands before the first shared shingle is not shared: this bounds what two nodes can have in common.
+    most = F.least(F.col("a_m") - F.col("a_place"), F.col("b_m") - F.col("b_place"))
+    pairs = x.join(y, "kind").filter("a_node < b_node AND a_label != b_label").filter(_alike(percent, most, F.col("a_n"), F.col("b_n")))
+    out = stored(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n").distinct(), "pairs")
+    discard(heads)
+    return out
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +219,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = stored(_confirmed(stars, sets, percent), "links")
     more = _rest(met.select("bucket", F.col("b").alias("node"), F.col("b_n").alias("n")), sets, links, percent)
     if more is not None:
-        links = stored(links.unionByName(_confirmed(more, sets, percent)), "links")
+        first, links = links, stored(links.unionByName(_confirmed(more, sets, percent)), "links")
+        discard(first, more)
     discard(met, sets)
     found = stored(connected_components(links).join(classes, "node"), "linked")
     least = found.groupBy("component").agg(F.min("first_id").alias("component_id"))
