@@ -11,7 +11,6 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,8 @@ import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cantogram.llm.workers import kept_with
+
 #: Entries of a worker's memo of chunks, and of words; a full memo is emptied. The results don't depend on it.
 MEMO = 250_000
 #: Longer words are merged one by one, all places of the smallest rank at once.
@@ -212,11 +213,6 @@ class RankBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def _loaded(content: bytes) -> RankBpe:
-    return RankBpe(content)
-
-
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """A vocabulary file (a few MB, whatever the data) for every worker."""
     with open(path, "rb") as file:
@@ -225,7 +221,7 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 def _coded(held: Broadcast, texts: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        bpe = _loaded(held.value)
+        bpe = kept_with(held, RankBpe)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from cantogram.llm.words import LOWER, NOT_ALNUM
+from cantogram.llm.workers import kept_with
 
 #: Bytes of item texts in one automaton. The items are dealt to as many automata as this takes, one after the other.
 ITEM_BYTES = 4 << 20
@@ -49,14 +49,9 @@ def window_automaton(items: tuple[tuple[int | None, str | None], ...], size: int
     return automaton
 
 
-@lru_cache(maxsize=4)
-def _built(items: tuple[tuple[int | None, str | None], ...], size: int) -> ahocorasick.Automaton | None:
-    return window_automaton(items, size)
-
-
 def _matched(held: Broadcast, size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        automaton = _built(held.value, size)
+        automaton = kept_with(held, window_automaton, size)
         for batch in batches:
             spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
             for i, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):

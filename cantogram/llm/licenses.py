@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -79,7 +78,6 @@ def _bounded(pattern: str) -> re.Pattern:
     return re.compile(f"(?<= )(?:{pattern})(?= )")
 
 
-@lru_cache(maxsize=1)
 def signature_rules() -> tuple[Rule, ...]:
     """All rules, highest priority first; the order among equals is the order of the tables."""
     rules = []
@@ -108,11 +106,11 @@ def signature_rules() -> tuple[Rule, ...]:
 GATE = re.compile(r"licen[sc]e|spdx|copyright|reserved|public domain|hereby granted|redistribution| cc |creative commons|gpl|mpl|bsd|apache| v\d| version ")
 
 
-def detections(text: str) -> list[tuple[int, int, Rule]]:
+def detections(text: str, rules: tuple[Rule, ...]) -> list[tuple[int, int, Rule]]:
     """(start, end, rule) of what is left after containment; ``text`` is normalised and has a space at both ends."""
     if not GATE.search(text):
         return []
-    found = [(m.start(), m.end(), rule) for rule in signature_rules() if rule.keyword in text for m in rule.pattern.finditer(text)]
+    found = [(m.start(), m.end(), rule) for rule in rules if rule.keyword in text for m in rule.pattern.finditer(text)]
     kept: list[tuple[int, int, Rule]] = []
     for start, end, rule in sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0])):
         if not any(a <= start and end <= b for a, b, _ in kept):
@@ -131,6 +129,7 @@ def _base_places(text: str) -> list[tuple[int, str]]:
 
 
 def _scanned(batches: Batches) -> Batches:
+    rules = signature_rules()
     for batch in batches:
         rows = []
         for raw in batch.column("text").cast(pa.large_binary()).to_pylist():
@@ -138,7 +137,7 @@ def _scanned(batches: Batches) -> Batches:
             text = b" ".join([b"", *words, b""]).decode() if words else ""
             places = _base_places(text)
             base = {label for _, label in places}
-            left = detections(text)
+            left = detections(text, rules)
             miss = 1.0
             for weight in [0.95] * len(places) + [r.weight for _, _, r in left]:
                 miss *= 1 - min(weight, 0.99)

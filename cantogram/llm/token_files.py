@@ -17,7 +17,6 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cantogram.llm.bpe import Chunks, vocabulary
+from cantogram.llm.workers import kept_with
 
 Batches = Iterator[pa.RecordBatch]
 INDEX = "file string, offset long, length long, doc_id long, n_tokens long, ids_crc32 long"
@@ -71,14 +71,9 @@ class LibraryEncoder:
         return self.chunks.ids(texts)
 
 
-@lru_cache(maxsize=2)
-def _loaded(content: bytes) -> LibraryEncoder:
-    return LibraryEncoder(content)
-
-
 def _records(held: Broadcast, end_id: int | None) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        encoder = _loaded(held.value)
+        encoder = kept_with(held, LibraryEncoder)
         width = "<u2" if max(encoder.size - 1, end_id or 0) < 1 << 16 else "<u4"
         tail = b"" if end_id is None else np.array([end_id], dtype=width).tobytes()
         for batch in batches:
