@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cantogram.llm.scratch import stored
 from cantogram.llm.words import LOWER
 
 #: Labelled rows that terms and the classifier learn from; more are thinned by a hash of the id, not by place.
@@ -218,10 +219,28 @@ def _scored(voters: Voters, weights: np.ndarray) -> Callable[[Batches], Batches]
     return run
 
 
-#: Distinct vote patterns that the label model reads; they are few, as most texts fire no voter. Beyond, the rarest are merged by their number of votes.
+#: Distinct vote patterns that the label model reads one by one; most texts fire no voter. Rarer ones are merged by their number of votes.
 PATTERN_ROWS = 20_000
 
 
+def vote_patterns(votes: DataFrame, limit: int = PATTERN_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """The vote patterns (a row each) and their counts, from (votes, n).
+
+    The ``limit`` most frequent patterns stand for themselves. All others become one row for each number of votes: the
+    share of those texts in which each voter fires, with their count, so that no text and no vote is lost.
+    """
+    top = votes.orderBy(F.desc("n"), "votes").limit(limit)
+    rows = top.collect()
+    if not rows:
+        return np.zeros((0, 0)), np.zeros(0)
+    width = len(rows[0]["votes"])
+    fired = [F.sum(F.when(F.substring("votes", i + 1, 1) == "1", F.col("n")).otherwise(0)) for i in range(width)]
+    rest = votes.join(top.select("votes"), "votes", "left_anti").withColumn("fires", F.length(F.replace("votes", F.lit("0"), F.lit(""))))
+    merged = rest.groupBy("fires").agg(F.sum("n").alias("n"), F.array(*fired).alias("sums")).orderBy("fires").collect() if len(rows) == limit else []
+    patterns = [[float(c == "1") for c in r["votes"]] for r in rows] + [[s / r["n"] for s in r["sums"]] for r in merged]
+    return np.array(patterns), np.array([float(r["n"]) for r in [*rows, *merged]])
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs``; ``labels`` has doc_id and toxic.
 
@@ -235,19 +254,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = known.count()
     thin = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, SAMPLE_ROWS / max(rows, 1))))
-    sample = source.join(known.filter(thin), "doc_id").dropDuplicates(["doc_id"])
+    # Of rows that repeat an id the least text teaches.
+    sample = source.join(known.filter(thin), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     taught = sorted(sample.select("doc_id", "text", "toxic").collect(), key=lambda r: r["doc_id"])
     texts = [(r["text"] or "").encode() for r in taught]
     toxic = np.array([r["toxic"] for r in taught], dtype=float)
     voters = mined_voters(texts, toxic)
 
     votes = source.filter(~held_out()).select("text").mapInArrow(_voted(voters), "votes string").groupBy("votes").agg(F.count(F.lit(1)).alias("n"))
-    top = votes.orderBy(F.desc("n"), "votes").limit(PATTERN_ROWS).collect()
-    if len(texts) and top:
+    patterns, counts = vote_patterns(stored(votes, "votes"))
+    if len(texts) and len(counts):
         found = [voters.found(t) for t in texts]
         own = np.array([voters.votes(f, lower) for f, _, lower in found], dtype=np.int8)
-        patterns = np.array([[c == "1" for c in r["votes"]] for r in top], dtype=np.int8)
-        model = LabelModel().fit(patterns, np.array([r["n"] for r in top], dtype=float), own, toxic)
+        model = LabelModel().fit(patterns, counts, own, toxic)
         x = np.stack([voters.features(*f) for f in found])
         weights = logistic(x, model.predict(own), np.ones(len(x)))
     else:
