@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from cantogram.llm.scratch import stored
+from cantogram.llm.scratch import discard, stored
 from cantogram.llm.words import SPACE, hashed_rows, separators, text_pieces, windows
 
 #: The transformed statistics, and for each the least deviation that is held against a row (a ridge on the covariance).
@@ -29,7 +29,7 @@ SHARE = 0.75
 STEPS = 6
 #: Rows whose squared distance a normal vector exceeds with this probability are rejected.
 TAIL = 1e-6
-#: Groups of fewer judged rows take the estimate of their language, or of all rows.
+#: Groups of fewer judged rows are judged by the estimate of all rows of their language, or of all rows.
 LEAST_ROWS = 100
 #: Distance bins per e-fold of the squared distance; histogram cells per unit of a statistic.
 FINE, CELLS = 100, 50
@@ -171,7 +171,11 @@ def _distance() -> Column:
 
 
 def _units(judged: DataFrame) -> DataFrame:
-    """How rows are grouped: by language and source, or wider where a group is small."""
+    """(k_lang, k_source, unit, members): the estimate that judges a group, and all estimates that its rows are part of.
+
+    A small group is judged by its whole language, or by all rows, and not by itself; so those
+    estimates take in the rows of large groups too, where any group needs them.
+    """
     sizes = judged.groupBy(*_keys("lang", "source")).agg(F.count(F.lit(1)).alias("rows"))
     langs = sizes.groupBy("k_lang").agg(F.sum("rows").alias("lang_rows"))
     unit = (
@@ -179,11 +183,16 @@ def _units(judged: DataFrame) -> DataFrame:
         .when(F.col("lang_rows") >= LEAST_ROWS, F.concat_ws("\x01", F.lit("lang"), "k_lang"))
         .otherwise(F.lit("all"))
     )
-    return stored(sizes.join(langs, "k_lang").select("k_lang", "k_source", unit.alias("unit")), "units")
+    named = stored(sizes.join(langs, "k_lang").select("k_lang", "k_source", unit.alias("unit")), "units")
+    wide = named.select("unit").distinct().withColumnRenamed("unit", "used")
+    ways = F.array(F.concat_ws("\x01", F.lit("source"), "k_lang", "k_source"), F.concat_ws("\x01", F.lit("lang"), "k_lang"), F.lit("all"))
+    members = named.withColumn("used", F.explode(ways)).join(wide, "used").groupBy("k_lang", "k_source").agg(F.collect_set("used").alias("members"))
+    return stored(named.join(members, ["k_lang", "k_source"]), "units")
 
 
 def _keys(lang: str, source: str) -> list[Column]:
-    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for c, k in ((lang, "k_lang"), (source, "k_source"))]
+    """Language and source as text; a null is a value of its own, apart from the empty text."""
+    return [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(k) for c, k in ((lang, "k_lang"), (source, "k_source"))]
 
 
 def _attached(df: DataFrame, units: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -229,13 +238,16 @@ def judge(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
     narrow = docs.select(F.col(lang_column).alias("lang"), F.col(source_column).alias("source"), F.col(text_column).cast("string").alias("text"))
     judged = stored(measure(narrow).filter(~base_failed()).drop("text", *COUNTS[1:]), "statistics")
     units = _units(judged)
-    rows = stored(_attached(judged, units).select("unit", *STATS), "vectors")
+    rows = stored(_attached(judged, units).select(F.explode("members").alias("unit"), *STATS), "vectors")
+    discard(judged)
     params = stored(_start(rows), "estimate")
     for _ in range(STEPS):
-        params = stored(_concentrated(rows, params), "estimate")
+        before, params = params, stored(_concentrated(rows, params), "estimate")
+        discard(before)
+    discard(rows)
     bound = chi2_quantile(1 - TAIL, len(STATS))
     measured = measure(docs.withColumn(text_column, F.col(text_column).cast("string")), text_column)
-    with_unit = _attached(measured, units, lang_column, source_column)
+    with_unit = _attached(measured, units.drop("members"), lang_column, source_column)
     out = with_unit.join(params, "unit", "left").withColumn("base_failed", base_failed())
     out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= bound, F.lit(True)))
