@@ -105,6 +105,17 @@ def _counted(batches: Batches) -> Batches:
         )
 
 
+def _found(held: list[Broadcast], size: int) -> Callable[[Batches], Batches]:
+    """All blocks of items one after the other, then the counts, in one Python worker per task."""
+
+    def run(batches: Batches) -> Batches:
+        for block in held:
+            batches = _matched(block, size)(batches)
+        yield from _counted(batches)
+
+    return run
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, byte_spans) for each row of ``docs``.
 
@@ -130,14 +141,12 @@ def _searched(source: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
     blocks = 1 + 2 * total // ITEM_BYTES if total > ITEM_BYTES else 1
     out = source.withColumn("spans", F.lit(None).cast("array<struct<start:int,count:int>>")).withColumn("items", F.lit(None).cast("array<bigint>"))
+    held = []
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        held = context.broadcast(tuple((r["item_id"], r["text"]) for r in own))
-        fields = {f.name: f for f in out.schema.fields}
-        order = [f for n, f in fields.items() if n not in ("spans", "items")] + [fields["spans"], fields["items"]]
-        out = out.mapInArrow(_matched(held, size), StructType(order))
+        held.append(context.broadcast(tuple((r["item_id"], r["text"]) for r in own)))
     schema = StructType([f for f in source.schema.fields if f.name != "text"])
     for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"), ("contaminated", "boolean")):
         schema = schema.add(name, kind)
     schema = schema.add("byte_spans", ArrayType(StructType().add("start", "long").add("end", "long")))
-    return out.mapInArrow(_counted, schema)
+    return out.mapInArrow(_found(held, size), schema)

@@ -156,3 +156,17 @@ def test_rare_vote_patterns_are_merged(spark):
     whole, every = vote_patterns(votes)
     assert every.sum() == counts.sum() and np.allclose((whole * every[:, None]).sum(axis=0), (patterns * counts[:, None]).sum(axis=0))
     assert vote_patterns(votes.limit(0))[1].tolist() == []
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch, plan_of):
+    from cantogram.llm import decontaminate
+
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))) for i in range(60)] + [(99, None), (None, "w1 w2 w3")]
+    docs = [(d, " ".join(rng.choice(words) for _ in range(80)) + " " + (items[d % 60][1] or "")) for d in range(80)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(repr, decontaminate.find_contamination(df, bench).collect()))
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 500)
+    parts = decontaminate.find_contamination(df, bench)
+    assert sorted(map(repr, parts.collect())) == whole and plan_of(parts).count("MapInArrow") == 1
