@@ -31,3 +31,33 @@ def folder(spark, tmp_path_factory):
 def test_supplier_keys_beyond_a_short(spark, folder):
     kept = queries()["narrow_types"](spark, folder)
     assert {(r.l_orderkey, r.l_linenumber, r.l_suppkey) for r in kept.collect()} == {(str(2**40), 7, 60_000), ("1", 1, 1)}
+
+
+def exchanges(plan):
+    """Exchanges of a plan as it was first made."""
+    return plan.split("== Initial Plan ==")[-1].count("Exchange")
+
+
+def plain_lyrics(spark, folder):
+    """The same words grouped without a thought of where they are."""
+    words = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
+    found = D.table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("track_id"), words).filter("word <> ''")
+    return found.groupBy("track_id", "word").agg(F.count(F.lit(1)).cast("int").alias("count"))
+
+
+def test_lyrics_move_once_as_texts(spark, folder, plan_of):
+    lyrics = D.raw_lyrics(spark, folder)
+    assert rows(lyrics) == rows(plain_lyrics(spark, folder))
+    per_track = lyrics.groupBy("track_id").agg(F.count_distinct("word"), F.sum("count"))
+    for found in (lyrics, per_track):
+        assert exchanges(plan_of(found)) == 1
+
+
+def test_split_flags_repeat_a_word_for_each_document_of_its_track(spark, folder, plan_of):
+    flags = D.table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("track_id"), F.when(F.col("lang") == "en", 0).otherwise(1).alias("is_test")
+    )
+    flagged = D.flagged_lyrics(spark, folder)
+    assert flagged.columns == ["track_id", "word", "count", "is_test"]
+    assert rows(flagged) == rows(plain_lyrics(spark, folder).join(flags, "track_id"))
+    assert exchanges(plan_of(flagged)) == 1 and "Join" not in plan_of(flagged)
