@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from cantogram.sources.buckets import hot_keys
 from catalogue import domain as D
 from tests.conftest import rows
 
@@ -61,3 +62,17 @@ def test_split_flags_repeat_a_word_for_each_document_of_its_track(spark, folder,
     assert flagged.columns == ["track_id", "word", "count", "is_test"]
     assert rows(flagged) == rows(plain_lyrics(spark, folder).join(flags, "track_id"))
     assert exchanges(plan_of(flagged)) == 1 and "Join" not in plan_of(flagged)
+
+
+def test_keys_are_counted_in_one_pass(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    words = spark.range(600).selectExpr("if(id % 3 = 0, 'hot', if(id % 50 = 1, null, concat('t', id))) AS track_id").mapInArrow(noted, "track_id string")
+    hot = hot_keys(words, "track_id", 8)
+    assert rows(hot) == [("hot", 3)]
+    assert seen.value == 600
