@@ -10,7 +10,8 @@
 4. A star can miss a link between two members. Buckets that still hold several components are
    finished exactly: shingles that occur in one component only cannot count for a link to another,
    so classes with too few others are dropped, again until nothing changes; those left meet on the rarest
-   shingles, of which any linked pair shares one, and their pairs are confirmed too.
+   shingles, of which any linked pair shares one. Stars over these shingles join components first, as one link
+   is as good as many, so that only components that stay apart meet in all pairs, which are confirmed too.
 5. Components of the confirmed links are found by joins.
 
 At a similarity of 0.8 a pair misses all 32 bands of 4 bins with probability (1 - 0.8^4)^32 = 5e-8.
@@ -32,6 +33,7 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 ATTEMPTS = 4096
 PEELS = 3
+TURNS = 3
 _U = np.uint64
 
 
@@ -136,8 +138,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(_alike(percent, F.col("common"), F.col("a_n"), F.col("b_n"))).select("a", "b")
 
 
-def _rest(entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs of different components that may still be linked, for buckets with more than one; None if none is."""
+def _star(heads: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of each kind's best holder, or in later turns another one, with those of other components."""
+    order = F.col("rest") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    center = F.max(F.struct(order.alias("first"), *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "label", "rest")])).alias("c")
+    centers = heads.groupBy("kind").agg(center, F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("kind", "c.*")
+    near = heads.join(centers, "kind").filter("label != a_label").filter(_alike(percent, F.least("rest", "a_rest"), F.col("n"), F.col("a_n")))
+    return near.select(F.col("a_node").alias("a"), F.col("node").alias("b"), "a_n", F.col("n").alias("b_n")).distinct()
+
+
+def _merged(heads: DataFrame, links: DataFrame) -> DataFrame:
+    """``heads`` with the labels that components have after ``links``."""
+    names = heads.select("node", "label").distinct()
+    one, two = (names.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in "ab")
+    tied = links.join(one, "a").join(two, "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    moved = connected_components(tied).withColumnRenamed("node", "label")
+    return stored(heads.join(moved, "label", "left").select("kind", "node", "n", F.coalesce("component", "label").alias("label"), "rest"), "heads")
+
+
+def _across(heads: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that meet and may be alike. Components meet first, so the nodes of one never face each other."""
+    sides = ({c: f"{side}_{c}" for c in ("node", "n", "label", "rest")} for side in "ab")
+    x, y = (heads.withColumnsRenamed(names) for names in sides)
+    groups = heads.groupBy("kind", "label").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
+    one, two = (groups.select("kind", *[F.col(c).alias(f"{side}_{c}") for c in ("label", "rest", "n")]) for side in "ab")
+
+    def alike() -> Column:
+        return _alike(percent, F.least("a_rest", "b_rest"), F.col("a_n"), F.col("b_n"))
+
+    # The largest rest and the smallest n of a component bound those of its nodes.
+    met = one.join(two, "kind").filter("a_label < b_label").filter(alike())
+    half = met.drop("a_rest", "a_n").join(x, ["kind", "a_label"]).filter(alike())
+    pairs = half.drop("b_rest", "b_n").join(y, ["kind", "b_label"]).filter(alike())
+    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n").distinct()
+
+
+def _rest(entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> list[DataFrame]:
+    """Tables of links that join all components that are still apart, for buckets with more than one."""
     labels = connected_components(links)
     named = entries.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("label"))
     mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("bucket")
@@ -154,22 +191,29 @@ def _rest(entries: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -
         rows = left
     if rows.isEmpty():
         discard(open_nodes, rows)
-        return None
+        return []
     # A linked pair shares one of the m - need + 1 rarest of either side. Shingles that the very same nodes hold stand
     # together in the order, and nodes meet on them once, not on each.
     rarity = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.bit_xor(F.xxhash64("node")).alias("holders"))
     ranked = rows.join(rarity, "shingle").groupBy("node", "n", "label", "m").agg(F.array_sort(F.collect_list(F.struct("df", "holders"))).alias("by_df"))
     prefix = F.slice("by_df", 1, F.greatest(F.lit(0), F.size("by_df") - need + 1).cast("int"))
     kinds = F.filter(F.transform("prefix", lambda x, i: F.struct(x.alias("kind"), i.alias("place"))), lambda x: (x["place"] == 0) | (F.get("prefix", x["place"] - 1) != x["kind"]))
-    heads = stored(ranked.withColumn("prefix", prefix).select("node", "n", "label", "m", F.inline(kinds)), "heads")
+    # What stands before the first shared shingle is not shared: the least ``rest`` bounds what two nodes can have in common.
+    heads = stored(
+        ranked.withColumn("prefix", prefix).select("node", "n", "label", "m", F.inline(kinds)).select("kind", "node", "n", "label", (F.col("m") - F.col("place")).alias("rest")),
+        "heads",
+    )
     discard(open_nodes, rows)
-    x, y = (heads.select("kind", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "label", "m", "place")]) for side in "ab")
-    # What stands before the first shared shingle is not shared: this bounds what two nodes can have in common.
-    most = F.least(F.col("a_m") - F.col("a_place"), F.col("b_m") - F.col("b_place"))
-    pairs = x.join(y, "kind").filter("a_node < b_node AND a_label != b_label").filter(_alike(percent, most, F.col("a_n"), F.col("b_n")))
-    out = stored(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n").distinct(), "pairs")
+    found = []
+    for turn in range(TURNS):
+        found.append(stored(_confirmed(_star(heads, percent, turn), sets, percent), "links"))
+        if found[-1].isEmpty():
+            break
+        before, heads = heads, _merged(heads, found[-1])
+        discard(before)
+    found.append(stored(_confirmed(_across(heads, percent), sets, percent), "links"))
     discard(heads)
-    return out
+    return found
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,11 +262,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     links = stored(_confirmed(stars, sets, percent), "links")
     more = _rest(met.select("bucket", F.col("b").alias("node"), F.col("b_n").alias("n")), sets, links, percent)
-    if more is not None:
-        first, links = links, stored(links.unionByName(_confirmed(more, sets, percent)), "links")
-        discard(first, more)
+    every = links
+    for table in more:
+        every = every.unionByName(table)
     discard(met, sets)
-    found = stored(connected_components(links).join(classes, "node"), "linked")
+    found = stored(connected_components(every).join(classes, "node"), "linked")
+    discard(links, *more)
     least = found.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = found.join(least, "component").select("class", "component_id")
     named = classes.join(linked, "class", "left").select("class", F.coalesce("component_id", "first_id").alias("component_id"))

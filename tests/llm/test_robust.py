@@ -9,6 +9,7 @@ import time
 import numpy as np
 import pytest
 
+from cantogram.llm import near_dedup
 from cantogram.llm.near_dedup import near_duplicates
 from cantogram.llm.quality import measure
 from cantogram.llm.repeats import drop_repeats
@@ -124,6 +125,36 @@ def test_links_that_no_star_offers_are_found(spark):
     assert found == expected and 4 < len(set(expected.values())) < len(docs)
 
 
+def test_halves_of_a_family_are_joined_by_few_pairs(spark, monkeypatch):
+    """Two large components whose members are all alike: one link joins them, so the pairs that are confirmed grow with the nodes, not with their square."""
+    size, rng = 120, np.random.default_rng(3)
+    base = rng.integers(1, 2**62, 100)
+    rows = [(i, np.sort(np.concatenate([base, rng.integers(1, 2**62, 2)])).astype(np.int64).tobytes()) for i in range(2 * size)]
+    sets = spark.createDataFrame(rows, "node long, shingles binary")
+    entries = spark.createDataFrame([(7, i, 102) for i in range(2 * size)], "bucket long, node long, n long")
+    links = spark.createDataFrame([(i % 2, i) for i in range(2, 2 * size)], "a long, b long")
+    offered, confirmed = [], near_dedup._confirmed
+    monkeypatch.setattr(near_dedup, "_confirmed", lambda pairs, *rest: offered.append(pairs.count()) or confirmed(pairs, *rest))
+    found = {tuple(r) for table in near_dedup._rest(entries, sets, links, 80) for r in table.collect()}
+    assert offered[0] == len(found) == size and not any(offered[1:])
+    assert all((a + b) % 2 for a, b in found)
+
+
+def test_few_pairs_lose_no_link(spark):
+    """One word of a rare few swapped in and out of one text: members far from every star still come together."""
+    rng = random.Random(11)
+    base, texts = [f"b{i}" for i in range(140)], []
+    for _ in range(150):
+        own = list(base)
+        for i in rng.sample(range(140), rng.choice([1, 3, 4, 5, 6])):
+            own[i] = f"e{rng.randrange(12)}"
+        texts.append(" ".join(own))
+    docs = dict(enumerate(texts))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(df, shingle=4).collect()}
+    assert found == components(docs, 4) and len(set(found.values())) > 2
+
+
 def test_repeats_that_branch_and_turn(spark):
     """Passages with several ways in and out, a text that repeats itself in a circle, and one shared by many texts."""
     rng = random.Random(9)
