@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cantogram.llm.workers import kept_with
 
-#: Entries of a worker's memo of chunks, and of words; a full memo is emptied. The results don't depend on it.
+#: Entries of a worker's memo of words, which is emptied when full, and of each of the two memos of chunks: a full one
+#: becomes the older, and what is used again moves on. The results don't depend on it.
 MEMO = 250_000
 #: Longer words are merged one by one, all places of the smallest rank at once.
 SHORT = 48
@@ -49,8 +50,11 @@ class Chunks:
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], added: dict[str, int]):
-        self.encode, self.memo, self.added = encode, {}, added
+        self.encode = encode
+        self.fixed = {k: np.array([v], dtype="<u4").tobytes() for k, v in added.items()}
+        self.memo, self.older = dict(self.fixed), {}
         self.adjacent = re.compile(r"\s\s")
+        self.unlike = re.compile(r"[.,](?<=[\W_].)|\0")
         self.between = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
@@ -59,17 +63,21 @@ class Chunks:
         if self.adjacent.search(text):
             first, *rest = self.between.split(text)
             return [first, *[" " + x for x in rest]]
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += [" " + x for x in rest]
-            out.append("\n")
-        out.pop()
-        return out
+        cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+        if not self.unlike.search(text):
+            # All full stops and commas follow a letter or digit, which ends its word before them.
+            cut = f"{cut}\0".replace(".\0", "\0.\0").replace(",\0", "\0,\0")[:-1]
+        elif "\0" in text:
+            return [x for line in text.split("\n") for x in ["\n", *[y if i == 0 else " " + y for i, y in enumerate(line.split(" "))]]][1:]
+        return cut.split("\0")
 
     def _learn(self, new: set[str]) -> None:
         """A letter ends its word before a full stop or comma, so the part before it is learnt once."""
+        if len(self.memo) + len(new) > MEMO:
+            self.older, self.memo = self.memo, dict(self.fixed)
+        again = self.older.keys() & new
+        self.memo.update({c: self.older[c] for c in again})
+        new = new - again
         ends = {c for c in new if len(c) > 1 and c[-1] in ".," and c[-2].isalpha()}
         plain = list((new - ends).union(*[{c[:-1], c[-1]} for c in ends]).difference(self.memo))
         self.memo.update(zip(plain, self.encode(plain), strict=True))
@@ -79,19 +87,16 @@ class Chunks:
         split = []
         for text in texts:
             if self.marks and self.marks.search(text):
-                split.append([p if p in self.added else self._parts(p) for p in self.marks.split(text) if p])
+                split.append([x for p in self.marks.split(text) if p for x in ([p] if p in self.fixed else self._parts(p))])
             else:
-                split.append([self._parts(text)] if text else [])
-        flat = [p for parts in split for p in parts if isinstance(p, list)]
-        new = set().union(*flat).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = set().union(*flat)
-        self._learn(new)
-        get = self.memo.__getitem__
-        mark = {k: np.array([v], dtype="<u4").tobytes() for k, v in self.added.items()}
-        out = [b"".join([mark[p] if isinstance(p, str) else b"".join(map(get, p)) for p in parts]) for parts in split]
-        return out
+                split.append(self._parts(text) if text else [])
+        get = self.memo.get
+        found = [list(map(get, parts)) for parts in split]
+        new = {p for parts, own in zip(split, found, strict=True) for p, x in zip(parts, own, strict=True) if x is None}
+        if new:
+            self._learn(new)
+        memo = self.memo
+        return [b"".join([memo[p] if x is None else x for p, x in zip(parts, own, strict=True)]) for parts, own in zip(split, found, strict=True)]
 
 
 class RankBpe:
