@@ -2,27 +2,30 @@
 
 A word is held as a row of parts and a row of the ranks of adjacent parts. Each round finds the
 smallest rank of every row, deletes that boundary, and looks up the two ranks beside it, for all rows that still
-have a rank; finished rows leave. Words are looked up once per worker and kept in a bounded memo.
+have a rank; finished rows leave. What was encoded is kept in bounded memos, once per worker.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cantogram.llm.workers import kept_with
 
-#: Entries of a worker's memo of words, which is emptied when full, and of each of the two memos of chunks: a full one
-#: becomes the older, and what is used again moves on. The results don't depend on it.
-MEMO = 250_000
+#: Entries and bytes of a worker's memo of chunks; a full one keeps the half used last. Its memo of words has half
+#: as many entries and is emptied when full. The results don't depend on them.
+MEMO, MEMO_BYTES = 500_000, 64_000_000
 #: Longer words are merged one by one, all places of the smallest rank at once.
 SHORT = 48
 #: Rows of words that are merged together.
@@ -30,6 +33,14 @@ BLOCK = 4_000
 # The split before the merges that the vocabulary was made for.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 _NONE = np.int32(np.iinfo(np.int32).max)
+#: Kinds of bytes: other, letter or digit, part of a longer character, white space, control character that some take for it.
+OTHER, WORD, WIDE, BLANK, UNSURE = range(5)
+KINDS = bytes(WIDE if b >= 128 else WORD if chr(b).isalnum() else BLANK if b in b" \t\n\v\f\r" else UNSURE if 0x1C <= b <= 0x1F else OTHER for b in range(256))
+#: White space beyond ASCII, and what resembles it, as numbers of UTF-8 bytes; and their first bytes.
+WHITE = [int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)]
+LEADS = [0xC2, 0xE1, 0xE2, 0xE3, 0xEF]
+#: Bytes of text that are encoded at once, or one row.
+PIECE = 4_000_000
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -43,60 +54,113 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _offsets(values: pa.Array) -> np.ndarray:
+    return np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+
+
 class Chunks:
-    """Splits texts at single spaces between other characters, where no word crosses, and keeps chunks' ids.
+    """Splits texts into chunks that no word crosses and keeps chunks' ids.
 
-    ``encode`` gives the ids (4 bytes each, little-endian) of each of some strings that need no context.
+    ``encode`` gives the ids (4 bytes each, little-endian) of each of some strings that need no context. Boundaries are
+    found in the bytes of many texts at once, and equal chunks are numbered, so that Python only sees distinct ones.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], added: dict[str, int]):
         self.encode = encode
-        self.fixed = {k: np.array([v], dtype="<u4").tobytes() for k, v in added.items()}
-        self.memo, self.older = dict(self.fixed), {}
-        self.adjacent = re.compile(r"\s\s")
-        self.unlike = re.compile(r"[.,](?<=[\W_].)|\0")
-        self.between = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-
-    def _parts(self, text: str) -> list[str]:
-        """Strings that no word crosses; each after the first of a line with the space before it."""
-        if self.adjacent.search(text):
-            first, *rest = self.between.split(text)
-            return [first, *[" " + x for x in rest]]
-        cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
-        if not self.unlike.search(text):
-            # All full stops and commas follow a letter or digit, which ends its word before them.
-            cut = f"{cut}\0".replace(".\0", "\0.\0").replace(",\0", "\0,\0")[:-1]
-        elif "\0" in text:
-            return [x for line in text.split("\n") for x in ["\n", *[y if i == 0 else " " + y for i, y in enumerate(line.split(" "))]]][1:]
-        return cut.split("\0")
-
-    def _learn(self, new: set[str]) -> None:
-        """A letter ends its word before a full stop or comma, so the part before it is learnt once."""
-        if len(self.memo) + len(new) > MEMO:
-            self.older, self.memo = self.memo, dict(self.fixed)
-        again = self.older.keys() & new
-        self.memo.update({c: self.older[c] for c in again})
-        new = new - again
-        ends = {c for c in new if len(c) > 1 and c[-1] in ".," and c[-2].isalpha()}
-        plain = list((new - ends).union(*[{c[:-1], c[-1]} for c in ends]).difference(self.memo))
-        self.memo.update(zip(plain, self.encode(plain), strict=True))
-        self.memo.update({c: self.memo[c[:-1]] + self.memo[c[-1]] for c in ends})
+        marks = {k.encode(): np.array([v], dtype="<u4").tobytes() for k, v in added.items()}
+        self.marks = re.compile(b"|".join(map(re.escape, sorted(marks, key=len, reverse=True)))) if added else None
+        # Arrow arrays hold a chunk in a tenth of the memory of Python objects, and are looked up without them.
+        self.known, self.values = pa.array(list(marks), pa.large_binary()), pa.array(list(marks.values()), pa.large_binary())
+        self.used, self.turn = np.full(len(marks), np.iinfo(np.int64).max), 0
+
+    def _starts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where a chunk starts: a text, white space after another character, what follows a single line feed, and a
+        full stop or comma between an ASCII letter or digit and another start. ``bounds``: texts' starts, and the end."""
+        kind = np.frombuffer(data.tobytes().translate(KINDS), dtype=np.uint8)
+        plain = kind < BLANK
+        start = np.zeros(len(data) + 1, dtype=bool)
+        start[1:-1] = (kind[1:] == BLANK) & plain[:-1]
+        if (after := np.flatnonzero(start[1:-1] & (kind[:-1] == WIDE)) + 1).size:
+            last = [data[np.maximum(after - k, 0)].astype(np.int32) << 8 * (k - 1) for k in (1, 2, 3)]
+            start[after[np.isin(last[0] | last[1], WHITE) | np.isin(last[0] | last[1] | last[2], WHITE)]] = False
+        feeds = np.flatnonzero((data[:-1] == 10) & start[:-2]) + 1
+        start[feeds[plain[feeds] & ~np.isin(data[feeds], LEADS)]] = True
+        start[bounds] = True
+        stops = np.flatnonzero((data == 46) | (data == 44))
+        stops = stops[start[stops + 1] & ~start[stops]]
+        start[stops[kind[stops - 1] == WORD]] = True
+        return start
+
+    def _codes(self, chunks: pa.Array) -> np.ndarray:
+        """Distinct chunks' places in the memo, which learns those that it lacks."""
+        self.turn += 1
+        codes = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy().copy()
+        old, lacking = codes[codes >= 0], np.flatnonzero(codes < 0)
+        self.used[old] = np.maximum(self.used[old], self.turn)
+        if not len(lacking):
+            return codes
+        if len(self.known) + len(lacking) > MEMO or self.known.nbytes + self.values.nbytes > MEMO_BYTES:
+            stay = self._lasting()
+            place = np.zeros(len(self.used), dtype=codes.dtype)
+            place[stay] = np.arange(len(stay))
+            codes = place[codes]
+            self.known, self.values, self.used = self.known.take(pa.array(stay)), self.values.take(pa.array(stay)), self.used[stay]
+        codes[lacking] = len(self.known) + np.arange(len(lacking))
+        new = chunks.take(pa.array(lacking))
+        self.values = pa.concat_arrays([self.values, pa.array(self._learnt(new.cast(pa.large_string()).to_pylist()), pa.large_binary())])
+        self.known = pa.concat_arrays([self.known, new])
+        self.used = np.concatenate([self.used, np.full(len(new), self.turn)])
+        return codes
+
+    def _lasting(self) -> np.ndarray:
+        """Places of a full memo that stay: what is used now, and of the rest what was used last, up to half the limits."""
+        order = np.argsort(-self.used, kind="stable")
+        size = np.cumsum((np.diff(_offsets(self.known)) + np.diff(_offsets(self.values)))[order] + 16)
+        recent = (np.arange(len(order)) < MEMO // 2) & (size <= MEMO_BYTES // 2)
+        return np.sort(order[recent | (self.used[order] >= self.turn)])
+
+    def _learnt(self, new: list[str]) -> list[bytes]:
+        """A letter ends its word before a full stop or comma, so the part before it is encoded by itself."""
+        ends = {c for c in new if c[-1] in ".," and len(c) > 1 and c[-2].isalpha()}
+        if not ends:
+            return self.encode(new)
+        plain = list(dict.fromkeys(x for c in new for x in ([c[:-1], c[-1]] if c in ends else [c])))
+        ids = dict(zip(plain, self.encode(plain), strict=True))
+        return [ids[c[:-1]] + ids[c[-1]] if c in ends else ids[c] for c in new]
+
+    def _marked(self, data: bytes, bounds: np.ndarray) -> tuple[list[int], list[int]]:
+        """The places of added tokens, as starts and ends."""
+        edges = bounds.tolist()
+        found = [m.span() for m in self.marks.finditer(data)]
+        # A match that runs over the end of a text is none, but may hide one behind its start.
+        if any(edges[bisect.bisect_right(edges, a)] < b for a, b in found):
+            found = [(a + m.start(), a + m.end()) for a, b in itertools.pairwise(edges) for m in self.marks.finditer(data[a:b])]
+        return [a for a, _ in found], [b for _, b in found]
+
+    def flat(self, texts: pa.Array) -> tuple[bytes, list[int]]:
+        """The ids of all of some texts (no nulls), one after the other, and where each text's begin, with the end, in bytes."""
+        texts = texts.cast(pa.large_binary())
+        offsets = _offsets(texts)
+        first, size = int(offsets[0]), int(offsets[-1] - offsets[0])
+        if not size:
+            return b"", [0] * (len(texts) + 1)
+        held, bounds = texts.buffers()[2].slice(first, size), offsets - first
+        data = np.frombuffer(held, dtype=np.uint8)
+        heads, tails = self._marked(memoryview(held), bounds) if self.marks else ([], [])
+        start = self._starts(data, np.unique(np.concatenate([bounds, np.array(heads + tails, dtype=np.int64)])))
+        for a, b in zip(heads, tails, strict=True):
+            start[a + 1 : b] = False
+        places = np.flatnonzero(start)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), held]).dictionary_encode()
+        codes = self._codes(parts.dictionary)
+        ids = self.values.take(pa.array(codes)).take(parts.indices)
+        ends = _offsets(ids)
+        at = ends[np.searchsorted(places, bounds)]
+        return ids.buffers()[2].slice(0, int(ends[-1])).to_pybytes(), at.tolist()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            if self.marks and self.marks.search(text):
-                split.append([x for p in self.marks.split(text) if p for x in ([p] if p in self.fixed else self._parts(p))])
-            else:
-                split.append(self._parts(text) if text else [])
-        get = self.memo.get
-        found = [list(map(get, parts)) for parts in split]
-        new = {p for parts, own in zip(split, found, strict=True) for p, x in zip(parts, own, strict=True) if x is None}
-        if new:
-            self._learn(new)
-        memo = self.memo
-        return [b"".join([memo[p] if x is None else x for p, x in zip(parts, own, strict=True)]) for parts, own in zip(split, found, strict=True)]
+        flat, at = self.flat(pa.array(texts, pa.large_string()))
+        return [flat[a:b] for a, b in itertools.pairwise(at)]
 
 
 class RankBpe:
@@ -204,7 +268,7 @@ class RankBpe:
         found = iter(self._merge([s.encode() for s, one in zip(strings, single, strict=True) if one]))
         split = [self.split.findall(s) for s, one in zip(strings, single, strict=True) if not one]
         new = list({w for words in split for w in words}.difference(self.words))
-        if len(self.words) + len(new) > MEMO:
+        if len(self.words) + len(new) > MEMO // 2:
             self.words.clear()
             new = list({w for words in split for w in words})
         self.words.update(zip(new, self._merge([w.encode() for w in new]), strict=True))
@@ -218,6 +282,17 @@ class RankBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about PIECE bytes of text at most, or of one row; what Arrow held for one goes back before the next."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = (np.cumsum(sizes) - sizes) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in itertools.pairwise(cuts):
+        if b > a:
+            yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()
+
+
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """A vocabulary file (a few MB, whatever the data) for every worker."""
     with open(path, "rb") as file:
@@ -228,9 +303,9 @@ def _coded(held: Broadcast, texts: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         bpe = kept_with(held, RankBpe)
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                ids = bpe.encode([t or "" for t in part.column("text").to_pylist()])
+            for part in pieces(batch):
+                flat, at = bpe.chunks.flat(part.column("text").fill_null(""))
+                ids = [flat[a:b] for a, b in itertools.pairwise(at)]
                 decoded = [bpe.decode(x) for x in ids]
                 columns = [c for c in part.schema.names if c != "text"]
                 result = [part.column(c) for c in columns] + [

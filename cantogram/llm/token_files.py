@@ -13,6 +13,7 @@ retried and speculative tasks from leaving half or double files, on any store th
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import zlib
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cantogram.llm.bpe import Chunks, vocabulary
+from cantogram.llm.bpe import Chunks, pieces, vocabulary
 from cantogram.llm.workers import kept_with
 
 Batches = Iterator[pa.RecordBatch]
@@ -77,11 +78,11 @@ def _records(held: Broadcast, end_id: int | None) -> Callable[[Batches], Batches
         width = "<u2" if max(encoder.size - 1, end_id or 0) < 1 << 16 else "<u4"
         tail = b"" if end_id is None else np.array([end_id], dtype=width).tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+            for part in pieces(batch):
+                flat, at = encoder.chunks.flat(part.column("text").fill_null(""))
+                ids = np.frombuffer(flat, dtype="<u4").astype(width)
                 heads = [struct.pack("<BBq", int(width[-1]), key is not None, key or 0) for key in part.column("doc_id").to_pylist()]
-                frames = [framed(h + np.frombuffer(x, dtype="<u4").astype(width).tobytes() + tail) for h, x in zip(heads, ids, strict=True)]
+                frames = [framed(h + ids[a // 4 : b // 4].tobytes() + tail) for h, (a, b) in zip(heads, itertools.pairwise(at), strict=True)]
                 yield pa.record_batch([pa.array(frames, pa.binary())], names=["record"])
 
     return run
