@@ -8,7 +8,7 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cantogram.session import build_session
 
     session = build_session(
@@ -17,6 +17,8 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        # Its own folder: a test that looks for what another session leaves must not find this one's tables.
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('checkpoints')}",
     )
     session.sparkContext.setLogLevel("OFF")
     return session
